@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mandiscope.functions.scalars import with_row
 from mandiscope.ml.features import standardize
 from mandiscope.operators.quantiles import exact_quantiles
 from mandiscope.session import durable
@@ -124,7 +125,7 @@ def price_anomalies(
     scored = durable(scaled.withColumn("anomaly_score", score(*z)).drop(*z))
     limit = exact_quantiles(scored, [], "anomaly_score", {"limit": contamination}).select("limit")
     return (
-        scored.crossJoin(F.broadcast(limit))
+        with_row(scored, limit)
         .withColumn("is_anomaly", F.col("anomaly_score") < F.col("limit"))
         .drop("limit")
     )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mandiscope.functions.scalars import with_row
 from mandiscope.operators.quantiles import medians, modes
+from mandiscope.session import durable
 
 
 def impute(df: DataFrame, numeric: Sequence[str], text: Sequence[str], unknown: str = "unknown") -> DataFrame:
@@ -19,7 +21,7 @@ def impute(df: DataFrame, numeric: Sequence[str], text: Sequence[str], unknown:
         # One row of one value per column.
         long = stats(df, columns)
         row = long.agg(*(F.max(F.when(F.col("column") == c, F.col(value))).alias(f"_{c}") for c in columns))
-        fills = row if fills is None else fills.crossJoin(F.broadcast(row))
+        fills = row if fills is None else with_row(fills, row)
     if fills is None:
         return df
     out: dict[str, Column] = {}
@@ -27,7 +29,7 @@ def impute(df: DataFrame, numeric: Sequence[str], text: Sequence[str], unknown:
         out[c] = F.coalesce(F.col(c).cast("double"), F.col(f"_{c}"))
     for c in text:
         out[c] = F.coalesce(F.col(c), F.col(f"_{c}"), F.lit(unknown))
-    return df.crossJoin(F.broadcast(fills)).withColumns(out).select(*df.columns)
+    return with_row(df, fills).withColumns(out).select(*df.columns)
 
 
 def standardize(df: DataFrame, columns: Sequence[str], prefix: str = "z_") -> DataFrame:
@@ -35,7 +37,7 @@ def standardize(df: DataFrame, columns: Sequence[str], prefix: str = "z_") -> Da
     stats = df.agg(
         *(F.avg(c).alias(f"_m_{c}") for c in columns), *(F.stddev_pop(c).alias(f"_s_{c}") for c in columns)
     )
-    scored = df.crossJoin(F.broadcast(stats))
+    scored = with_row(df, stats)
     return scored.select(
         *df.columns,
         *(
@@ -55,18 +57,18 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
     """
     values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull()).distinct()
     ordered = values.sort("value").select("value", F.monotonically_increasing_id().alias("_id"))
-    split = ordered.select("value", (F.shiftright("_id", 33)).alias("_part"), (F.col("_id").bitwiseAND(2**33 - 1)).alias("_pos"))
-    from mandiscope.session import durable
-
+    # The generated id holds the partition above bit 33 and the position inside it below.
+    split = ordered.select(
+        "value", F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(2**33 - 1).alias("_pos")
+    )
     split = durable(split)
-    sizes = split.groupBy("_part").agg(F.count("*").alias("_n"))
+    # One row per partition of the sort, here and in the broadcast below.
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        sizes.alias("a")
-        .join(sizes.alias("b"), F.col("b._part") < F.col("a._part"), "left")
-        .groupBy(F.col("a._part").alias("_part"))
-        .agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_offset"))
+        split.groupBy("_part")
+        .agg(F.count("*").alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     )
-    # One row per partition of the sort.
     return split.join(F.broadcast(before), "_part").select("value", (F.col("_offset") + F.col("_pos")).alias("code"))
 
 

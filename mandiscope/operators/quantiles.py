@@ -9,10 +9,14 @@ Both passes aggregate on the map side, so one value or one group may hold most r
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mandiscope.functions.scalars import with_row
+
 ACCURACY = 20_000
 
 
@@ -23,11 +27,14 @@ def exact_quantiles(
     probabilities: dict[str, float],
     method: str = "linear",
     accuracy: int = ACCURACY,
+    few_groups: bool = False,
 ) -> DataFrame:
     """One row per group: group columns, ``n`` and one column per named probability.
 
     ``linear`` interpolates between neighbours at position ``(n - 1) p``; ``floor`` takes the sorted
     value at index ``floor(n p)``. Null and NaN values are ignored; groups without values are absent.
+    ``few_groups`` says that the caller knows the groups to be few (names of columns, say), so their
+    brackets may be broadcast; otherwise the planner decides by measured size.
     """
     if method not in ("linear", "floor"):
         raise ValueError(f"unknown method {method!r}")
@@ -50,33 +57,28 @@ def exact_quantiles(
         low = F.floor(position)
         return low, F.ceil(position), position - low
 
-    wanted = sketch.select(
-        *groups,
-        "n",
-        F.explode(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(i).alias("q"),
-                        F.get("_b", F.lit(2 * i)).alias("lo"),
-                        F.get("_b", F.lit(2 * i + 1)).alias("hi"),
-                        *(r.alias(a) for r, a in zip(ranks(p), ("k0", "k1", "frac"))),
-                    )
-                    for i, p in enumerate(probabilities.values())
-                )
+    wanted = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("q"),
+                F.get("_b", F.lit(2 * i)).alias("lo"),
+                F.get("_b", F.lit(2 * i + 1)).alias("hi"),
+                *(r.alias(a) for r, a in zip(ranks(p), ("k0", "k1", "frac"))),
             )
-        ).alias("_w"),
-    ).select(*groups, "n", "_w.*")
-
+            for i, p in enumerate(probabilities.values())
+        )
+    )
+    brackets = sketch.select(*groups, "n", wanted.alias("_w"))
     if groups:
-        keys = [F.col(f"v.{g}").eqNullSafe(F.col(f"w.{g}")) for g in groups]
-        condition = keys[0]
-        for extra in keys[1:]:
-            condition = condition & extra
-        paired = values.alias("v").join(wanted.alias("w"), condition).drop(*[F.col(f"v.{g}") for g in groups])
+        renamed = [F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]
+        side = brackets.select(*renamed, "n", "_w")
+        if few_groups:
+            side = F.broadcast(side)
+        same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
+        located = values.join(side, reduce(and_, same)).drop(*(f"_g{i}" for i in range(len(groups))))
     else:
-        # As many rows as probabilities, whatever the data size.
-        paired = values.crossJoin(F.broadcast(wanted))
+        located = with_row(values, brackets)
+    paired = located.select(*groups, "n", "_v", F.explode("_w").alias("_w")).select(*groups, "n", "_v", "_w.*")
     zone = F.when(F.col("_v") < F.col("lo"), -1).when(F.col("_v") > F.col("hi"), 1).otherwise(0)
     held = paired.withColumn("zone", zone).withColumn("slot", F.when(F.col("zone") == 0, F.col("_v")))
     fixed = [*groups, "q", "n", "k0", "k1", "frac"]
@@ -120,7 +122,7 @@ def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             )
         ).alias("_c")
     ).select("_c.*")
-    return exact_quantiles(long, ["column"], "value", {"median": 0.5}).select("column", "median")
+    return exact_quantiles(long, ["column"], "value", {"median": 0.5}, few_groups=True).select("column", "median")
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mandiscope.functions.lookups import TIERS
+from mandiscope.functions.scalars import with_row
 from mandiscope.operators.dedup import signature
 from mandiscope.operators.relational import average_price, supplier_tier
 
@@ -39,7 +40,7 @@ def dashboard_kpis(df: DataFrame) -> DataFrame:
         (F.try_divide(F.sum("verified"), F.sum("n")) * 100).alias("verified_pct"),
         F.coalesce(F.try_divide(F.sum("price"), F.sum("n_both")), F.lit(0.0)).alias("avg_price"),
     )
-    return total.crossJoin(F.broadcast(kept)).select(
+    return with_row(total, kept).select(
         "total",
         "unique_suppliers",
         "avg_rating",
@@ -56,14 +57,10 @@ def tier_breakdown(df: DataFrame) -> DataFrame:
     counts = df.groupBy(tier.alias("tier")).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
     dimension = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, TIERS))).alias("tier"))
-    return (
-        dimension.join(counts, "tier", "left")
-        .crossJoin(F.broadcast(total))
-        .select(
-            "tier",
-            F.coalesce("n", F.lit(0)).alias("n"),
-            (F.coalesce("n", F.lit(0)) / F.col("total") * 100).alias("share_pct"),
-        )
+    return with_row(dimension.join(counts, "tier", "left"), total).select(
+        "tier",
+        F.coalesce("n", F.lit(0)).alias("n"),
+        (F.coalesce("n", F.lit(0)) / F.col("total") * 100).alias("share_pct"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mandiscope.functions.lookups import CATEGORIES, REGIONS
+from mandiscope.functions.scalars import with_row
 from mandiscope.operators.relational import average_price, supplier_tier, top_group_rows
 from mandiscope.plans.summary import boxplot_stats
 
@@ -37,7 +38,7 @@ def region_share(df: DataFrame) -> DataFrame:
     """Share of all listings per region."""
     counts = df.groupBy(F.coalesce("supplier_region", F.lit("Unknown")).alias("region")).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select(
+    return with_row(counts, total).select(
         "region", "n", (F.col("n") / F.col("total") * 100).alias("share_pct")
     )
 
@@ -59,7 +60,7 @@ def state_heatmap(df: DataFrame) -> DataFrame:
     most = by_state.agg(F.max("listings").alias("most"))
     density = F.col("listings") / F.col("most")
     level = F.when(density > 0.6, "high").when(density > 0.3, "medium").otherwise("low")
-    return by_state.crossJoin(F.broadcast(most)).select(
+    return with_row(by_state, most).select(
         "state",
         "listings",
         "avg_price",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mandiscope.functions.lookups import CATEGORIES, PRICE_BAND_EDGES, PRICE_BAND_LABELS, lookup_frame
+from mandiscope.functions.scalars import with_row
 from mandiscope.operators.quantiles import exact_quantiles
 from mandiscope.operators.relational import average_price, price_spread
 
@@ -34,7 +35,7 @@ def category_price_stats(df: DataFrame) -> DataFrame:
 def _moq_trimmed(df: DataFrame) -> DataFrame:
     data = priced(df).select("avg_price", F.col("moq").cast("double").alias("moq"))
     limits = exact_quantiles(data, [], "moq", {"q01": 0.01, "q99": 0.99}).select("q01", "q99")
-    return data.crossJoin(F.broadcast(limits)).where(F.col("moq").between(F.col("q01"), F.col("q99")))
+    return with_row(data, limits).where(F.col("moq").between(F.col("q01"), F.col("q99")))
 
 
 def _fit(df: DataFrame, y: str, x: str) -> DataFrame:
@@ -134,7 +135,7 @@ def price_elasticity(df: DataFrame, p_value: bool = True) -> DataFrame:
     )
     categories = per_category.agg(F.count("*").alias("_categories"))
     result = (
-        per_category.crossJoin(F.broadcast(categories))
+        with_row(per_category, categories)
         .where((F.col("_categories") > 1) & (F.col("sample_size") > MIN_ROWS))
         .drop("_categories")
         .withColumn("expected_sign", F.col("elasticity") < 0)
@@ -153,7 +154,7 @@ def spread_rows(df: DataFrame) -> DataFrame:
     spread, pct = price_spread()
     data = df.select("category", spread.alias("price_spread"), pct.alias("price_spread_pct")).na.drop()
     limit = exact_quantiles(data, [], "price_spread_pct", {"q95": 0.95}).select("q95")
-    return data.crossJoin(F.broadcast(limit)).where(F.col("price_spread_pct") <= F.col("q95")).drop("q95")
+    return with_row(data, limit).where(F.col("price_spread_pct") <= F.col("q95")).drop("q95")
 
 
 def spread_summary(df: DataFrame) -> DataFrame:
@@ -196,7 +197,7 @@ def iqr_outliers(df: DataFrame) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     price = F.col("avg_price")
     return (
-        data.crossJoin(F.broadcast(quartiles))
+        with_row(data, quartiles)
         .where((price < F.col("q1") - reach) | (price > F.col("q3") + reach))
         .drop("q1", "q3")
     )

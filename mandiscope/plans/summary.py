@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mandiscope.functions.scalars import with_row
 from mandiscope.operators.quantiles import exact_quantiles
 
 
@@ -142,7 +143,8 @@ def numeric_describe(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
+    shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    quartiles = exact_quantiles(long, ["column"], "value", shares, few_groups=True).drop("n")
     return moments.join(quartiles, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -190,7 +192,7 @@ def boxplot_stats(df: DataFrame, value: str, groups: Sequence[str] = ()) -> Data
     if groups:
         fenced = data.join(quartiles, groups)
     else:
-        fenced = data.crossJoin(F.broadcast(quartiles))
+        fenced = with_row(data, quartiles)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_x").between(F.col("q1") - reach, F.col("q3") + reach)
     return fenced.groupBy(*groups).agg(

@@ -74,12 +74,12 @@ LISTING_COLUMNS = list(
 )
 
 
-def listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    """Line items as listings, joined only to the dimensions the asked columns need."""
+def listings(spark: SparkSession, folder: str, *columns: str, lines: DataFrame | None = None) -> DataFrame:
+    """Line items, or other ``lines`` like them, as listings, joined to just the dimensions the columns need."""
     expressions = _columns()
     wanted = columns or tuple(LISTING_COLUMNS)
     needed = set().union(*(expressions[c][1] for c in wanted))
-    df = table(spark, folder, "lineitem")
+    df = table(spark, folder, "lineitem") if lines is None else lines
     if "part" in needed:
         df = df.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
     if "supplier" in needed:
