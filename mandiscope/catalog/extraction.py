@@ -16,7 +16,8 @@ def unescaped(expression: str) -> str:
     """SQL for the entities that occur in the pages."""
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&amp;", "&")):
         expression = f"replace({expression}, '{entity}', '{char}')"
-    return expression
+    # A text cut inside its last entity.
+    return f"regexp_replace({expression}, '&amp$', '&')"
 
 
 @query(
@@ -208,7 +209,7 @@ def seeds(spark, folder):
 
 @query(
     "merge_detail",
-    """SELECT d.doc_id AS product_id, coalesce(nullif(quality * 4.5, 0), 1.0) AS supplier_rating,
+    """SELECT d.doc_id AS product_id, CAST(coalesce(nullif(quality * 4.5, 0), 1.0) AS DOUBLE) AS supplier_rating,
       CASE WHEN toxic = 1 THEN 'Mumbai, Maharashtra' ELSE 'India' END AS supplier_location_raw,
       md5(CASE WHEN quality = 1 THEN left(text, 500) ELSE lang END) AS description
     FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",

@@ -16,6 +16,7 @@ from mandiscope.operators.normalize import normalize_product
 from mandiscope.operators.relational import latest_by_key, upsert_rows
 from mandiscope.operators.validate import validate_products
 from mandiscope.plans.geography import state_heatmap
+from mandiscope.session import spread
 from mandiscope.sources.tables import LISTING_COLUMNS, listings, table
 from mandiscope.sources.warehouse import current_products, save_products
 from mandiscope.streaming.ingest import ingest
@@ -62,7 +63,7 @@ OUT = "product_id name price_min price_max moq unit supplier_name category scrap
 
 
 def _prepare(df):
-    return enrich_geo(normalize_product(df))
+    return enrich_geo(normalize_product(spread(df)))
 
 
 @query("save_products", SAVED)
@@ -137,7 +138,7 @@ def profiles(spark, folder):
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, folder):
-    return cluster.elbow(cluster.profile_vectors(listings(spark, folder, *PROFILE)), restarts=1)
+    return cluster.elbow(listings(spark, folder, *PROFILE), restarts=1)
 
 
 def _price_model(spark, folder):

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from mandiscope.functions.scalars import with_row
 from mandiscope.ml.features import standardize
 from mandiscope.operators.quantiles import exact_quantiles
-from mandiscope.session import durable
+from mandiscope.session import durable, spread
 
 # Features, seed, forest size, sample per tree, flagged share and row minimum.
 FEATURES = ["price_min", "price_max", "moq"]
@@ -67,7 +67,7 @@ def price_anomalies(
     """Complete rows with ``anomaly_score`` (low is odd) and ``is_anomaly``; ``None`` for too few rows."""
     features = list(features)
     spark = df.sparkSession
-    complete = df.na.drop(subset=features).withColumns({f: F.col(f).cast("double") for f in features})
+    complete = spread(df).na.drop(subset=features).withColumns({f: F.col(f).cast("double") for f in features})
     scaled = standardize(complete, features)
     z = [f"z_{f}" for f in features]
     # At most one sample per tree, picked by hash so that the choice does not depend on partitioning.

@@ -26,6 +26,16 @@ def get_spark(app: str = "mandiscope", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on input that comes in fewer files than there are cores.
+
+    One file of one row group is one task however much work each row is. Input in enough files, which
+    is any large input, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a reliable checkpoint that outlives executors.
 

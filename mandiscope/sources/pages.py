@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from mandiscope.session import spread
+
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSHOWN = {"script", "style", "template"}
 
@@ -142,7 +144,7 @@ def extract_cards(
                     rows.append({key: ident, "pos": pos, "card_text": card.text()} | _fields(card, selectors))
             yield pd.DataFrame(rows, columns=names)
 
-    return pages.select(key, "html").mapInPandas(parse, schema)
+    return spread(pages.select(key, "html")).mapInPandas(parse, schema)
 
 
 def extract_detail(pages: DataFrame, fields: Sequence[Selector], key: str = "page_id") -> DataFrame:
@@ -156,7 +158,7 @@ def extract_detail(pages: DataFrame, fields: Sequence[Selector], key: str = "pag
             rows = [{key: i} | _fields(_tree(h), selectors) for i, h in zip(batch[key], batch["html"])]
             yield pd.DataFrame(rows, columns=names)
 
-    return pages.select(key, "html").mapInPandas(parse, schema)
+    return spread(pages.select(key, "html")).mapInPandas(parse, schema)
 
 
 def extract_with(
@@ -176,7 +178,7 @@ def extract_with(
                     rows.append({"error": str(failure)})
             yield pd.DataFrame(rows, columns=names)
 
-    return pages.select("html", url).mapInPandas(run, full)
+    return spread(pages.select("html", url)).mapInPandas(run, full)
 
 
 # Selectors of the supported sites. A site is a name, how its cards look and its fields.
