@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages and descriptions can be long; small batches bound the memory of a Python worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

@@ -142,7 +142,7 @@ def extract_cards(
                 cards = (e for e in _tree(html).walk() if e.matches(card_tag, css))
                 for pos, card in enumerate(cards):
                     rows.append({key: ident, "pos": pos, "card_text": card.text()} | _fields(card, selectors))
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return spread(pages.select(key, "html")).mapInPandas(parse, schema)
 
@@ -156,7 +156,7 @@ def extract_detail(pages: DataFrame, fields: Sequence[Selector], key: str = "pag
         selectors = _compiled(fields)
         for batch in batches:
             rows = [{key: i} | _fields(_tree(h), selectors) for i, h in zip(batch[key], batch["html"])]
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return spread(pages.select(key, "html")).mapInPandas(parse, schema)
 
@@ -173,10 +173,11 @@ def extract_with(
             rows = []
             for html, address in zip(batch["html"], batch[url]):
                 try:
-                    rows.append({n: extractor(html, address).get(n) for n in names})
+                    record = extractor(html, address)
+                    rows.append({n: record.get(n) for n in names})
                 except Exception as failure:  # a caller's code may raise anything
                     rows.append({"error": str(failure)})
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return spread(pages.select("html", url)).mapInPandas(run, full)
 
