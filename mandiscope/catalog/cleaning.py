@@ -18,7 +18,7 @@ from mandiscope.ml.features import impute, label_encode, standardize
 from mandiscope.operators import dedup, enrich, geo, normalize, validate
 from mandiscope.operators.relational import distinct_by_key, merge_keywords
 from mandiscope.session import spread
-from mandiscope.sources.tables import listings, table
+from mandiscope.sources.tables import listings, spread_listings, table
 
 # ---- de-duplication -------------------------------------------------------------------------------
 
@@ -410,7 +410,7 @@ DIRTY = """dirty AS (SELECT product_id, CASE WHEN moq = 7 THEN NULL ELSE name EN
 def _dirty(spark, folder):
     moq = F.col("moq")
     null = F.lit(None)
-    return spread(listings(spark, folder, *CHECKED)).select(
+    return spread_listings(spark, folder, *CHECKED).select(
         "product_id",
         F.when(moq == 7, null).otherwise(F.col("name")).alias("name"),
         F.when(moq == 11, -F.col("price_min")).otherwise(F.col("price_min")).alias("price_min"),
@@ -469,7 +469,7 @@ def rejected(spark, folder):
 def coerced(spark, folder):
     moq = F.col("moq")
     text = moq.cast("string")
-    data = spread(listings(spark, folder, "product_id", "moq", "price_min")).select(
+    data = spread_listings(spark, folder, "product_id", "moq", "price_min").select(
         "product_id",
         F.when(moq % 3 == 0, F.concat(text, F.lit(".5"))).when(moq % 5 == 0, F.concat(text, F.lit(" pieces")))
         .otherwise(F.concat(F.lit(" "), text, F.lit(".0"))).alias("moq"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,8 +15,8 @@ from mandiscope.operators.normalize import normalize_product
 from mandiscope.operators.relational import latest_by_key, upsert_rows
 from mandiscope.operators.validate import validate_products
 from mandiscope.plans.geography import state_heatmap
-from mandiscope.session import spread
-from mandiscope.sources.tables import LISTING_COLUMNS, listings, table
+from mandiscope.session import shared_folder, spread
+from mandiscope.sources.tables import LISTING_COLUMNS, listings, spread_listings, table
 from mandiscope.sources.warehouse import current_products, save_products
 from mandiscope.streaming.ingest import ingest
 
@@ -39,11 +38,8 @@ def upserted(spark, folder):
 
 
 def scratch(spark) -> str:
-    """A new folder for a query that has to write: inside the cluster's shared one, else temporary."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared is None and not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{shared}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="mandiscope-")
+    """A new folder inside the shared one, for a query that has to write."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 # The latest valid record per product after normalisation.
@@ -63,13 +59,13 @@ OUT = "product_id name price_min price_max moq unit supplier_name category scrap
 
 
 def _prepare(df):
-    return enrich_geo(normalize_product(spread(df)))
+    return enrich_geo(normalize_product(df))
 
 
 @query("save_products", SAVED)
 def saved(spark, folder):
     path = scratch(spark) + "/products"
-    save_products(_prepare(listings(spark, folder)), path, batch=1)
+    save_products(_prepare(spread_listings(spark, folder)), path, batch=1)
     return rounded(current_products(spark, path).select(*OUT), 2, "price_min", "price_max")
 
 
@@ -83,7 +79,7 @@ def incremental(spark, folder):
         return _prepare(listings_of(batch))
 
     def listings_of(batch):
-        return listings(spark, folder, *LISTING_COLUMNS, lines=batch)
+        return listings(spark, folder, *LISTING_COLUMNS, lines=spread(batch))
 
     ingest(
         spark, f"{folder}/lineitem*.parquet", f"{root}/products", f"{root}/progress", "parquet", lines.schema, prepare
@@ -114,7 +110,7 @@ def flagship(spark, folder):
         "product_id name price_min price_max currency moq unit supplier_name supplier_rating supplier_location "
         "response_rate category scraped_at supplier_state"
     ).split()
-    data = _prepare(listings(spark, folder, *columns))
+    data = _prepare(spread_listings(spark, folder, *columns))
     valid = validate_products(data)
     current = latest_by_key(valid, "product_id", ["scraped_at"])
     out = state_heatmap(current).select(*HEATMAP_COLUMNS)

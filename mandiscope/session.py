@@ -38,18 +38,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint that outlives executors.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder all executors share: the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local master may
-    fall back to a temporary folder; a cluster without a shared folder is an error.
+    Only a local master may fall back to a temporary folder; a cluster that names none is an error.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="mandiscope-checkpoint-")
-        context.setCheckpointDir(folder)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="mandiscope-")
+    return folder
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a reliable checkpoint that outlives executors."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mandiscope.functions.text import round_half_up
+from mandiscope.session import spread
 
 # Order in which the listing's currency is picked by the supplier's nation.
 LISTING_CURRENCIES = ["USD", "EUR", "GBP", "JPY", "CNY", "INR"]
@@ -89,3 +90,8 @@ def listings(spark: SparkSession, folder: str, *columns: str, lines: DataFrame |
     if "region" in needed:
         df = df.join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return df.select(*(expressions[c][0].alias(c) for c in wanted))
+
+
+def spread_listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Listings whose lines are dealt out to all cores before the joins, for costly work per row."""
+    return listings(spark, folder, *columns, lines=spread(table(spark, folder, "lineitem")))

@@ -51,7 +51,7 @@ def test_prices(spark):
     assert got["unknown"] == (5.0, 6.0, "XQX", None, True)
     assert got["unpriced"] == (None, None, "INR", None, None)
     assert got["half"] == (None, 108.0, "USD", "EUR", None)
-    strict = {r[0]: r[1] for r in rows(normalize.normalize_prices(df, rates, strict_reference=True), "product_id", "currency")}
+    strict = {r[0]: r[1] for r in rows(normalize.normalize_prices(df, rates, keep_spelling=True), "product_id", "currency")}
     assert strict["lower"] == "usd" and strict["sign"] == "$"
 
 
