@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,16 +39,22 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
+_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A folder all executors share: the one the cluster names in ``spark.checkpoint.dir``.
+    """The folder all executors share, which the session names in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; a cluster that names none is an error.
+    Only a local master may go without the setting; it then gets one temporary folder per application.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="mandiscope-")
+        application = spark.sparkContext.applicationId
+        if application not in _FOLDERS:
+            _FOLDERS[application] = tempfile.mkdtemp(prefix="mandiscope-")
+        folder = _FOLDERS[application]
     return folder
 
 
@@ -57,3 +64,11 @@ def durable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder: computed once, and kept when executors are lost."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
