@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mandiscope.llm import decontamination, fingerprints, language, lines, packing, pii, secrets, simhash, toxicity
+from mandiscope.llm import decontamination, fingerprints, language, lines, packing, pii, secrets, simhash, substrings, toxicity
 from mandiscope.llm.common import load
 
 
@@ -33,6 +33,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(load(spark, folder, "documents"), load(spark, folder, "labels"))
 
 
+def op7_repeated_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.remove_repeats(load(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.language(load(spark, folder, "documents"))
 
@@ -55,6 +60,7 @@ QUERIES = {
     "op4_decontamination": (op4_decontamination, None),
     "op5_packing": (op5_packing, None),
     "op6_toxicity": (op6_toxicity, None),
+    "op7_repeated_substrings": (op7_repeated_substrings, substrings.REPEATS_SQL),
     "op8_language": (op8_language, None),
     "op9_line_dedup": (op9_line_dedup, lines.LINES_SQL),
     "op10_simhash": (op10_simhash, None),
