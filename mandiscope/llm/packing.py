@@ -83,6 +83,15 @@ def public_files() -> dict[str, str | None]:
     return {"vocabulary": path("byte_bpe_50k.json"), "ranks": path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
 
 
+def encoder(files: dict | None) -> Encoder:
+    """The encoder of this Python worker; what it remembers serves all tasks of the worker."""
+    made = files or public_files()
+    at = tuple(made.values())
+    if at not in _WORKER:
+        _WORKER[at] = Encoder(**made)
+    return _WORKER[at]
+
+
 def token_pieces(docs: DataFrame, capacity: int = CAPACITY, files: dict | None = None) -> DataFrame:
     """Per piece of a document ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``.
 
@@ -91,11 +100,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, files: dict | None =
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        made = files or public_files()
-        at = tuple(made.values())
-        if at not in _WORKER:
-            _WORKER[at] = Encoder(**made)
-        encode, end = _WORKER[at], bytes(4)
+        encode, end = encoder(files), bytes(4)
         for batch in batches:
             rows = []
             for row, text in enumerate(batch["text"]):
