@@ -34,6 +34,15 @@ def document_key() -> tuple[Column, Column]:
 KEY = ["key", "key2"]
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``row``, all columns of ``docs`` in one, with the key; no column of ``docs`` can clash with others."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *document_key())
+
+
+def field(name: str) -> Column:
+    return F.col(f"row.`{name}`")
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if it is counted to be small; otherwise the planner shuffles it."""
     return F.broadcast(df) if df.count() <= rows else df

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mandiscope.llm.common import KEY, bounded, document_key, whole_text
+from mandiscope.llm.common import KEY, bounded, document_key, keyed, whole_text
 from mandiscope.session import written
 
 WIDTH = 5
@@ -145,6 +145,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents; all columns stay."""
-    found = bounded(written(leaks(docs, benchmark).select(*[F.col(k).alias(f"_{k}") for k in KEY])))
-    keyed = docs.select(*docs.columns, *[k.alias(f"_{name}") for k, name in zip(document_key(), KEY)])
-    return keyed.join(found, [f"_{k}" for k in KEY], "left_anti").select(*docs.columns)
+    found = bounded(written(leaks(docs, benchmark).select(*KEY)))
+    return keyed(docs).join(found, KEY, "left_anti").select("row.*")

@@ -5,22 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mandiscope.llm.common import KEY, document_key, whole_text
+from mandiscope.llm.common import KEY, document_key, field, keyed, whole_text
 
 WINDOW = 3
 
 
-def _lines():
-    return F.split(whole_text(), "\n", -1)
-
-
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """Documents with a window of three consecutive lines that occurred before: their key and ``covered``, line numbers from 0.
 
     Lines are compared without surrounding blanks. The first occurrence is the one of least (id, text hash, line).
     Every later one is repeated, also within a document. Windows of blank lines only are not counted.
     """
-    trimmed = F.transform(_lines(), lambda line: F.trim(line))
+    trimmed = F.transform(F.split(whole_text(), "\n", -1), lambda line: F.trim(line))
     hashed = F.transform(
         F.sequence(F.lit(1), F.size("lines") - (WINDOW - 1)),
         lambda i: F.struct(
@@ -55,21 +51,18 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     ids come first in the order of occurrence. An empty table gives no rows.
     """
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]
-    repeats = repeated_windows(docs).select(*[F.col(k).alias(f"_{k}") for k in KEY], F.col("covered").alias("_covered"))
-    keyed = docs.select(*names, *[k.alias(f"_{name}") for k, name in zip(document_key(), KEY)])
-    joined = keyed.join(repeats, [f"_{k}" for k in KEY], "left")
-    lines = _lines()
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_covered")
+    joined = keyed(docs).join(repeated_windows(docs), KEY, "left")
+    lines = F.split(F.coalesce(field("text"), F.lit("")), "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "covered")
     left = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("_covered").isNull(), F.col("text")).otherwise(left)
+    text = F.when(F.col("covered").isNull(), field("text")).otherwise(left)
     out = joined.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in names],
+        *[text.alias(c) if c == "text" else field(c) for c in names],
         F.size(lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_covered"), F.lit(0)).cast("long").alias("n_removed_lines"),
+        F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed_lines"),
     )
     if "n_chars" in names:
-        kind = docs.schema["n_chars"].dataType
-        changed = F.char_length("text").cast(kind)
+        changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, changed).otherwise(F.col("n_chars")))
     return out
 

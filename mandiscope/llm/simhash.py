@@ -10,6 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mandiscope.llm.common import whole_text
 from mandiscope.llm.components import components
@@ -39,7 +40,7 @@ def text_fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
     return int(bits.view(np.int64)[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def fingerprint(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for batch in texts:
         yield pd.Series([text_fingerprint(t) for t in batch], dtype="int64")
