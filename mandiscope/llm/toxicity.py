@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from mandiscope.llm.common import held_out, sample_ids, whole_text
 
 #: Labelled documents the model is fitted on at most.
-FIT_ROWS = 8_000
+FIT_ROWS = 12_000
 #: Hash space of the features; it bounds the weights that go to the tasks.
 BITS = 20
-PASSES = 3
+PASSES = 5
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -60,7 +60,7 @@ def features(text: str) -> np.ndarray:
 class Ftrl:
     """Follow the regularised leader: a rate for each coordinate, L1 keeps coordinates without evidence at zero."""
 
-    def __init__(self, alpha: float = 0.3, beta: float = 1.0, l1: float = 2.0, l2: float = 1.0):
+    def __init__(self, alpha: float = 2.0, beta: float = 1.0, l1: float = 8.0, l2: float = 0.0):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
@@ -91,7 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, passes: int =
     def train(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "text"])
         bias = np.array([1 << BITS])
-        seen = [np.concatenate((np.unique(features(t)), bias)) for t in group["text"]]
+        seen = [np.concatenate((np.unique(features(t)), bias)).astype(np.int32) for t in group["text"]]
         model, order = Ftrl(), np.random.default_rng(0)
         for _ in range(passes):
             for k in order.permutation(len(seen)):

@@ -252,7 +252,8 @@ def test_toxicity(spark, folder):
     docs, labels = (spark.read.parquet(f"{folder.replace('sf0.001', 'sf0.1')}/{t}.parquet") for t in ("documents", "labels"))
     scored = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
     hits = scored[scored.toxic == 1].predicted.mean(), scored[scored.toxic == 0].predicted.mean()
-    assert hits[0] > 0.9 and hits[1] < 0.02, hits
+    # One in ten toxic documents of these tables has no word that any other has.
+    assert hits[0] > 0.8 and hits[1] < 0.005, hits
 
 
 def test_toxicity_of_odd_rows(spark, docs):
