@@ -98,7 +98,8 @@ def _near(prints: DataFrame, items: DataFrame) -> DataFrame:
     )
     own = F.array(*[F.struct(F.lit(p).alias("part"), part("fp", p)) for p in range(PARTS)])
     probes = prints.select("fp").distinct().select("fp", F.explode(own).alias("k")).select("fp", "k.part", "k.value")
-    found = probes.join(index, ["part", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
+    # The planner takes the index for as small as the items, but it has thousands of values for each.
+    found = probes.join(index.hint("merge"), ["part", "value"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS)
     return found.select("fp", "item_fp").distinct()
 
 
