@@ -194,10 +194,24 @@ def keywords(spark, folder):
 
 
 def _entities_sql(text: str) -> str:
+    """Entities of a text in which every separator is doubled: an entity may then take one on either side and leave one
+    for its neighbour."""
     parts = []
-    for label, pattern in enrich.entity_patterns().items():
+    number = r"\d+(?:(?:\.\.|,,|//)\d+)*(?:\s\s)?"
+    units = {
+        "MEASUREMENT": "mm|cm|m|kg|g|mg|l|ml|inch|inches|ft|feet|yards",
+        "VOLTAGE": r"v(?:(?:\s\s)?(?:ac|dc))?",
+        "POWER": "w|kw|hp",
+        "FREQUENCY": "hz|khz|mhz",
+    }
+    found = {"MATERIAL": "steel|aluminum|plastic|copper|brass|glass|wood|cotton|polyester|nylon"}
+    found |= {label: f"{number}(?:{unit})" for label, unit in units.items()}
+    doubled = rf"regexp_replace({text}, '([^\p{{L}}\p{{N}}])', '\1\1', 'g')"
+    for label, entity in found.items():
+        pattern = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])({entity})(?:[^\p{{L}}\p{{N}}]|$)"
+        hits = rf"list_transform(regexp_extract_all({doubled}, '{pattern}', 1), lambda h: regexp_replace(h, '([^\p{{L}}\p{{N}}])[^\p{{L}}\p{{N}}]', '\1', 'g'))"
         parts.append(
-            f"""list_transform(list_filter(regexp_extract_all({text}, '{pattern}', 1), lambda h, i: list_position(list_transform(regexp_extract_all({text}, '{pattern}', 1), lambda x: lower(x)), lower(h)) = i
+            f"""list_transform(list_filter({hits}, lambda h, i: list_position(list_transform({hits}, lambda x: lower(x)), lower(h)) = i
             AND length(trim(h)) > 1), lambda h: '{label}=' || trim(h))"""
         )
     return "array_to_string(list_concat(" + ", ".join(parts) + "), '|')"
@@ -212,7 +226,7 @@ def _entity_text(column: str):
     "extract_entities",
     f"""WITH {LISTINGS}, texts AS (SELECT 'd' || doc_id AS id, text FROM documents
     UNION ALL SELECT 'p' || p_partkey, p_name || ' Steel STEEL ' || p_size || ' mm, ' || (p_size * 5) || ' V AC / ' || p_size
-      || 'kW and ' || p_size || '.5 Hz, brass' FROM part)
+      || 'kW and ' || p_size || '.5 Hz, brass copper steel/nylon, X' || p_size || 'm 5, m ' || p_size || ' cm 6 cm' FROM part)
     SELECT id, {_entities_sql('text')} AS entities FROM texts""",
 )
 def entities(spark, folder):
@@ -220,7 +234,7 @@ def entities(spark, folder):
     size = F.col("p_size").cast("string")
     label = F.concat(
         F.col("p_name"), F.lit(" Steel STEEL "), size, F.lit(" mm, "), (F.col("p_size") * 5).cast("string"),
-        F.lit(" V AC / "), size, F.lit("kW and "), size, F.lit(".5 Hz, brass"),
+        F.lit(" V AC / "), size, F.lit("kW and "), size, F.lit(".5 Hz, brass copper steel/nylon, X"), size, F.lit("m 5, m "), size, F.lit(" cm 6 cm"),
     )
     parts = table(spark, folder, "part").select(F.concat(F.lit("p"), "p_partkey").alias("id"), label.alias("text"))
     return documents.unionByName(parts).select("id", _entity_text("text").alias("entities"))
@@ -267,7 +281,7 @@ def tokens(spark, folder):
     f"""WITH d AS (SELECT {TOKENS.format('text')} AS t FROM documents), k AS (SELECT t FROM d WHERE len(t) > 0),
     c AS (SELECT token, count(*) AS doc_count FROM (SELECT unnest(list_distinct(t)) AS token FROM k) GROUP BY token)
     SELECT token, doc_count FROM c WHERE doc_count >= 2 AND doc_count <= floor((SELECT count(*) FROM k) * 0.5)
-    ORDER BY doc_count DESC, token LIMIT 100000""",
+    """,
 )
 def vocabulary(spark, folder):
     return enrich.vocab_filter(enrich.tokenize_docs(table(spark, folder, "documents").select("text"), "text"))

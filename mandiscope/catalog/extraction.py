@@ -102,15 +102,20 @@ def badges(spark, folder):
 
 @query(
     "resolve_url",
-    """SELECT page_id, href, CASE WHEN regexp_matches(href, '^https?:') THEN href
+    """SELECT page_id, href, CASE WHEN regexp_matches(href, '^(https?|mailto):') THEN href
+      WHEN href LIKE './%' THEN folder || substr(href, 3)
+      WHEN href LIKE '../%' AND regexp_matches(folder, '^[a-z]+://[^/]*/$') THEN folder || substr(href, 4)
+      WHEN href LIKE '../%' THEN regexp_replace(folder, '[^/]+/$', '') || substr(href, 4)
       WHEN href LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href
       WHEN href = '' THEN url
-      ELSE regexp_extract(url, '^([a-z]+://[^/?#]*(?:/[^?#]*/|/)?)', 1) || href END AS link
-    FROM (SELECT page_id, url, unnest(list_concat(regexp_extract_all(html, 'href="([^"]*)"', 1), ['p7.html', url, ''])) AS href FROM pages)""",
+      ELSE folder || href END AS link
+    FROM (SELECT *, regexp_extract(url, '^([a-z]+://[^/?#]*(?:/[^?#]*/|/)?)', 1) AS folder FROM
+      (SELECT page_id, url, unnest(list_concat(regexp_extract_all(html, 'href="([^"]*)"', 1),
+        ['p7.html', url, '', '../up.html', './here.html', 'mailto:a@b.c'])) AS href FROM pages))""",
 )
 def links(spark, folder):
     found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    all_links = F.concat(found, F.array(F.lit("p7.html"), F.col("url"), F.lit("")))
+    all_links = F.concat(found, F.array(F.lit("p7.html"), F.col("url"), *map(F.lit, ("", "../up.html", "./here.html", "mailto:a@b.c"))))
     pages = table(spark, folder, "pages").select("page_id", "url", F.explode(all_links).alias("href"))
     return pages.select("page_id", "href", extract.resolve_url(F.col("href"), F.col("url")).alias("link"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mandiscope.functions.text import blank_to_null, first_group, strip, try_double
+from mandiscope.operators.relational import latest_by_key
 
 # Labels searched in detail text.
 MOQ_LABEL = r"MOQ|Minimum Order"
@@ -38,21 +39,38 @@ def has_badge(text: Column) -> Column:
     return F.coalesce(text.rlike("(?i)verified|trusted"), F.lit(False))
 
 
+def _without_dots(url: Column) -> Column:
+    """``url`` with the segments ``.`` and ``..`` of its path taken out, the latter with the segment before it."""
+    root = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(url, r"([?#].*)$", 1)
+    parts = F.split(path, "/", -1)
+    last = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1))))
+        .when(part == ".", done)
+        .otherwise(F.concat(done, F.array(part))),
+    )
+    return F.when(path.rlike(r"/\.{1,2}(/|$)"), F.concat(root, F.array_join(F.concat(kept, last), "/"), rest)).otherwise(url)
+
+
 def resolve_url(href: Column, base: Column | str) -> Column:
-    """Absolute address of a link found on a page of ``base``."""
+    """Absolute address of a link found on a page of ``base``; an address with a scheme of its own stays as it is."""
     base = F.lit(base) if isinstance(base, str) else base
     root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1)
     folder = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
-    return (
-        F.when(href.rlike(r"^(?i)https?:"), href)
-        .when(href.startswith("//"), F.concat(scheme, href))
+    joined = (
+        F.when(href.startswith("//"), F.concat(scheme, href))
         .when(href.startswith("/"), F.concat(root, href))
         .when(href.startswith("#") | href.startswith("?"), F.concat(page, href))
         .when(href == "", base)
         .otherwise(F.concat(folder, F.when(folder.endswith("/"), "").otherwise("/"), href))
     )
+    return F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), href).otherwise(_without_dots(joined))
 
 
 def product_id(url: Column) -> Column:
@@ -109,8 +127,11 @@ def card_supplier(named: Column, texts: Column, name: Column) -> Column:
 
 
 def merge_detail(listing: DataFrame, detail: DataFrame) -> DataFrame:
-    """Let the detail page override rating, location (unless just the country) and description."""
-    picked = detail.select(
+    """Let the detail page override rating, location (unless just the country) and description.
+
+    Of several detail rows of a product the newest counts.
+    """
+    picked = latest_by_key(detail, "product_id", [c for c in ("scraped_at",) if c in detail.columns]).select(
         "product_id",
         F.col("supplier_rating").alias("_rating"),
         F.substring("supplier_location_raw", 1, 50).alias("_location"),

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mandiscope.functions.text import strip
-
 
 def latest_by_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """The greatest row per key by ``order``, then by all columns.
@@ -145,7 +143,3 @@ def top_group_rows(df: DataFrame, group: str, k: int) -> DataFrame:
 def merge_keywords(*lists: Column, limit: int = 10) -> Column:
     """Lists joined without repeats, in first-seen order, cut to ``limit``."""
     return F.slice(F.array_distinct(F.concat(*lists)), 1, limit)
-
-
-def clean_text(col: Column) -> Column:
-    return strip(F.coalesce(col, F.lit("")))

@@ -132,6 +132,8 @@ def test_extraction(spark):
     "href, base, want",
     [("/p/1", "https://a.com/x/y?q", "https://a.com/p/1"), ("b.html", "https://a.com/x/y", "https://a.com/x/b.html"),
      ("https://b.com/z", "https://a.com", "https://b.com/z"), ("//c.com/z", "http://a.com/x", "http://c.com/z"),
+     ("../c.html", "https://x.com/a/b/d.html", "https://x.com/a/c.html"), ("mailto:a@b.c", "https://x.com/a/b", "mailto:a@b.c"),
+     ("../../../z?q=..", "https://x.com/a/b", "https://x.com/z?q=.."), ("./", "https://x.com/a/b", "https://x.com/a/"),
      ("b", "https://a.com", "https://a.com/b"), ("?q=1", "https://a.com/x", "https://a.com/x?q=1")],
 )
 def test_urls(spark, href, base, want):
@@ -242,3 +244,10 @@ def test_record_step_and_refine(spark):
 def test_dedup_rate(spark):
     df = spark.createDataFrame([("a",), ("b",)], "x string")
     assert rows(dedup.dedup_rate(df, df.limit(1)), "removed_pct") == [(50.0,)]
+
+
+def test_neighbouring_entities(spark):
+    texts = ["copper brass steel fitting, nylon plastic", "Brass/copper pipe", "ref X12m", "Model 5, m type", "5 mm 6 mm"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [[e["text"] for e in r[0]] for r in df.select(enrich.extract_entities(F.col("t"))).collect()]
+    assert found == [["copper", "brass", "steel", "nylon", "plastic"], ["Brass", "copper"], [], [], ["5 mm", "6 mm"]]
