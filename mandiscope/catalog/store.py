@@ -124,22 +124,22 @@ PROFILE = "product_id supplier_rating response_rate moq price_min price_max".spl
 
 @query("supplier_clusters")
 def clusters(spark, folder):
-    return cluster.supplier_clusters(listings(spark, folder, *PROFILE), restarts=2)
+    return cluster.supplier_clusters(listings(spark, folder, *PROFILE))
 
 
 @query("cluster_profiles")
 def profiles(spark, folder):
-    return cluster.cluster_profiles(cluster.supplier_clusters(listings(spark, folder, *PROFILE), restarts=2))
+    return cluster.cluster_profiles(cluster.supplier_clusters(listings(spark, folder, *PROFILE)))
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, folder):
-    return cluster.elbow(listings(spark, folder, *PROFILE), restarts=1)
+    return cluster.elbow(listings(spark, folder, *PROFILE))
 
 
 def _price_model(spark, folder):
     columns = [*PROFILE, "category", "subcategory", "unit", "supplier_region", "supplier_country"]
-    return price_model.fit_price_model(listings(spark, folder, *columns), max_depth=6)
+    return price_model.fit_price_model(listings(spark, folder, *columns))
 
 
 @query("price_model_metrics")

@@ -19,7 +19,8 @@ PASSES = 10
 TOP_WORDS = 5
 MIN_DOCS = 2
 MAX_SHARE = 0.5
-VOCABULARY = 100_000
+# Tokens the driver and every task can hold; a vocabulary that fills it is an error.
+VOCABULARY = 5_000_000
 SEED = 42
 MIN_TEXTS = 10
 MIN_TOKENIZED = 5
@@ -31,27 +32,29 @@ class TopicModel(NamedTuple):
     documents: DataFrame
 
 
-def fit_topics(df: DataFrame, text: str = "description", topics: int = TOPICS, passes: int = PASSES) -> TopicModel | None:
-    """Topics over all non-empty texts; ``None`` when there are too few."""
+def fit_topics(
+    df: DataFrame, text: str = "description", topics: int = TOPICS, passes: int = PASSES, vocabulary: int = VOCABULARY
+) -> TopicModel | None:
+    """Topics over all non-empty texts and all tokens within the document bounds; ``None`` when there are too few texts."""
     texts = df.where(F.col(text).isNotNull())
     tokenized = tokenize_docs(texts, text).persist(StorageLevel.MEMORY_AND_DISK)
     if tokenized.count() <= MIN_TOKENIZED or texts.limit(MIN_TEXTS + 1).count() <= MIN_TEXTS:
         tokenized.unpersist()
         return None
     counter = CountVectorizer(
-        inputCol="tokens", outputCol="features", minDF=MIN_DOCS, maxDF=MAX_SHARE, vocabSize=VOCABULARY
+        inputCol="tokens", outputCol="features", minDF=MIN_DOCS, maxDF=MAX_SHARE, vocabSize=vocabulary
     ).fit(tokenized)
+    if len(counter.vocabulary) >= vocabulary:
+        raise ValueError(f"more than {vocabulary} tokens; raise the bound or narrow the document bounds")
     vectors = counter.transform(tokenized)
     bags = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    # The online optimiser sees a share of the documents per step; this many steps make the passes.
-    share = 0.2
     model = LDA(
         k=topics,
         seed=SEED,
         optimizer="online",
         optimizeDocConcentration=True,
-        subsamplingRate=share,
-        maxIter=int(passes / share),
+        subsamplingRate=1.0,
+        maxIter=passes,
     ).fit(bags)
     bags.unpersist()
     tokenized.unpersist()

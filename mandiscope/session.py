@@ -30,13 +30,12 @@ def get_spark(app: str = "mandiscope", master: str | None = None, **conf: str) -
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work on input that comes in fewer files than there are cores.
+    """Deal rows out before costly work, if the caller asked for it with the setting ``mandiscope.partitions``.
 
-    One file of one row group is one task however much work each row is. Input in enough files, which
-    is any large input, is left alone.
+    Large input comes in as many tasks as it has splits and needs none of this; it helps where one small file holds all.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    partitions = df.sparkSession.conf.get("mandiscope.partitions", None)
+    return df.repartition(int(partitions)) if partitions else df
 
 
 _FOLDERS: dict[str, str] = {}
