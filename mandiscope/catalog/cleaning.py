@@ -209,12 +209,12 @@ def _entities_sql(text: str) -> str:
     doubled = rf"regexp_replace({text}, '([^\p{{L}}\p{{N}}])', '\1\1', 'g')"
     for label, entity in found.items():
         pattern = rf"(?i)(?:^|[^\p{{L}}\p{{N}}])({entity})(?:[^\p{{L}}\p{{N}}]|$)"
-        hits = rf"list_transform(regexp_extract_all({doubled}, '{pattern}', 1), lambda h: regexp_replace(h, '([^\p{{L}}\p{{N}}])[^\p{{L}}\p{{N}}]', '\1', 'g'))"
+        hits = rf"list_transform(regexp_extract_all(t, '{pattern}', 1), lambda h: regexp_replace(h, '([^\p{{L}}\p{{N}}])[^\p{{L}}\p{{N}}]', '\1', 'g'))"
         parts.append(
-            f"""list_transform(list_filter({hits}, lambda h, i: list_position(list_transform({hits}, lambda x: lower(x)), lower(h)) = i
-            AND length(trim(h)) > 1), lambda h: '{label}=' || trim(h))"""
+            f"""list_transform([{hits}], lambda hs: list_transform(list_filter(hs, lambda h, i:
+            list_position(list_transform(hs, lambda x: lower(x)), lower(h)) = i AND length(trim(h)) > 1), lambda h: '{label}=' || trim(h)))[1]"""
         )
-    return "array_to_string(list_concat(" + ", ".join(parts) + "), '|')"
+    return f"list_transform([{doubled}], lambda t: array_to_string(list_concat({', '.join(parts)}), '|'))[1]"
 
 
 def _entity_text(column: str):

@@ -137,9 +137,25 @@ def kmeans_elbow(spark, folder):
     return cluster.elbow(listings(spark, folder, *PROFILE))
 
 
+# Models that several queries report on are fitted once per application and folder.
+_FITTED: dict[tuple, object] = {}
+
+
+def _once(name, spark, folder, fit):
+    at = (name, spark.sparkContext.applicationId, folder)
+    if at not in _FITTED:
+        _FITTED[at] = fit()
+    return _FITTED[at]
+
+
 def _price_model(spark, folder):
     columns = [*PROFILE, "category", "subcategory", "unit", "supplier_region", "supplier_country"]
-    return price_model.fit_price_model(listings(spark, folder, *columns))
+    return _once("price", spark, folder, lambda: price_model.fit_price_model(listings(spark, folder, *columns)))
+
+
+def _topics(spark, folder):
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    return _once("topics", spark, folder, lambda: topics.fit_topics(texts, "text"))
 
 
 @query("price_model_metrics")
@@ -164,9 +180,9 @@ def price_anomalies(spark, folder):
 
 @query("topic_terms")
 def topic_terms(spark, folder):
-    return topics.topic_terms(topics.fit_topics(table(spark, folder, "documents").select("doc_id", "text"), "text"))
+    return topics.topic_terms(_topics(spark, folder))
 
 
 @query("dominant_topics")
 def dominant_topics(spark, folder):
-    return topics.topic_histogram(topics.fit_topics(table(spark, folder, "documents").select("doc_id", "text"), "text"))
+    return topics.topic_histogram(_topics(spark, folder))
