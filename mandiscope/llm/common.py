@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Broadcast only tables counted to hold no more rows than this.
+#: Broadcast only tables measured to hold no more rows and bytes (as JSON text) than this.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64_000_000
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,9 +44,15 @@ def field(name: str) -> Column:
     return F.col(f"row.`{name}`")
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it is counted to be small; otherwise the planner shuffles it."""
-    return F.broadcast(df) if df.count() <= rows else df
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if it is measured to be small; otherwise the planner chooses.
+
+    Few rows may still be large, as arrays and words can have any length, so bytes count as well.
+    """
+    if df.count() > rows:
+        return df
+    held = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return F.broadcast(df) if (held or 0) <= size else df
 
 
 def sample_ids(ids: DataFrame, rows: int) -> DataFrame:

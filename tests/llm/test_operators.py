@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from mandiscope.llm import components, decontamination, fingerprints, language, lines, packing, pii, secrets, simhash, substrings, toxicity
+from mandiscope.llm import common, components, decontamination, fingerprints, language, lines, packing, pii, secrets, simhash, substrings, toxicity
 
 BODY = "first line of the text here\nsecond line goes on a while\nthird line ends this part\nfourth line is new\n"
 LONG = " ".join(f"word{i % 977} and{i % 13}" for i in range(30_000))
@@ -80,6 +80,15 @@ def test_empty_tables(spark, empty):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_broadcast_needs_few_rows_and_few_bytes(spark):
+    def marked(df):
+        return "broadcast" in df._jdf.queryExecution().logical().toString()
+
+    df = spark.createDataFrame([(1, ["word"] * 10), (2, None)], "a long, words array<string>")
+    assert marked(common.bounded(df)) and marked(common.bounded(df.limit(0)))
+    assert not marked(common.bounded(df, rows=1)) and not marked(common.bounded(df, size=60))
+
+
 def paragraphs(text):
     return {p for p in text.split("\n") if p.strip(" ")}
 
