@@ -81,6 +81,38 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert warehouse.read_log(spark, places[1]).count() == 3
 
 
+def test_streams_share_a_warehouse(spark, tmp_path):
+    table = str(tmp_path / "table")
+
+    def land(stream, progress, *records):
+        (tmp_path / stream).mkdir(exist_ok=True)
+        (tmp_path / stream / f"{progress}.json").write_text("\n".join(json.dumps(r) for r in records))
+        ingest(spark, str(tmp_path / stream), table, str(tmp_path / progress), prepare=lambda df: df).awaitTermination()
+
+    warehouse.save_products(spark.createDataFrame([product(product_id="TI-0")], LISTING_SCHEMA), table, 0)
+    land("one", "a", product(), product(product_id="TI-2"))
+    land("two", "b", product(name="Later", scraped_at=1.0), product(product_id="TI-3"))
+    current = {r.product_id: r.name for r in warehouse.current_products(spark, table).collect()}
+    assert current == {"TI-0": "Pump", "TI-1": "Later", "TI-2": "Pump", "TI-3": "Pump"}
+    assert warehouse.read_log(spark, table).count() == 5
+    # A new checkpoint reads the first stream again and replaces nothing.
+    land("one", "c", product(product_id="TI-4"))
+    assert warehouse.read_log(spark, table).count() == 8
+
+
+def test_repeated_batch_replaces_itself(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing/1.json").write_text(json.dumps(product()))
+    places = (str(tmp_path / "landing"), str(tmp_path / "table"), str(tmp_path / "progress"))
+
+    ingest(spark, *places, prepare=lambda df: df).awaitTermination()
+    # As if the job had been lost after the write, before the batch was marked as done.
+    for done in (tmp_path / "progress/commits").glob("*0*"):
+        done.unlink()
+    ingest(spark, *places, prepare=lambda df: df).awaitTermination()
+    assert warehouse.read_log(spark, places[1]).count() == 1
+
+
 CARD = """
 <html><body><script>var a = "<div class='fullwidthcard'>";</script>
 <div class="x fullwidthcard y"><h2 class="card_title"> Steel &amp; pump </h2><a href="/products/steel-c77.html">go</a>
