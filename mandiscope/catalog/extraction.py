@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from mandiscope.catalog.registry import query, r, rounded, with_listings
 from mandiscope.operators import extract
+from mandiscope.plans.page_listings import page_listings
 from mandiscope.sources.listings import decode_lists, encode_lists, union_sources
 from mandiscope.sources.pages import Selector, extract_cards, extract_detail
 from mandiscope.sources.tables import listings, table
@@ -237,6 +238,54 @@ def merged(spark, folder):
     return out.withColumn("description", F.md5(F.col("description").cast("binary")))
 
 
+# A card and its detail page for every page. Cards differ in title, link, supplier, price and MOQ by the page's number.
+CARD_NAME = "CASE page_id % 3 WHEN 0 THEN 'Lathe ' || page_id ELSE 'Steel pump ' || page_id END"
+
+
+def _site_pages(pages):
+    key, at = F.col("page_id").cast("string"), lambda n: F.col("page_id") % n
+    name = F.concat(F.when(at(3) == 0, "Lathe ").otherwise("Steel pump "), key)
+    address = F.concat(F.lit("/products/item-c"), key, F.lit(".html"))
+    card = F.concat(
+        F.lit('<div class="row fullwidthcard"><a href="/help">Help</a><a href="'), address, F.lit('">open</a>'),
+        F.when(at(3) == 0, F.lit('<h2 class="card_title"> ')).otherwise(F.lit("<h2>")), name, F.lit("</h2>"),
+        F.when(at(4) == 0, F.lit('<span class="anchor-wrapper">Acme &amp; Co</span>')).otherwise(F.lit("<p>abc</p><p></p>")),
+        F.when(at(5) < 3, F.concat(F.lit('<div class="price-box">Rs 1,'), F.lpad((F.col("page_id") % 1000).cast("string"), 3, "0"), F.lit(" - 2,500.50</div>"))).otherwise(F.lit("")),
+        F.lit('<p class="wordbreak">Finish - Blue</p><p class="wordbreak">MOQ - '), (at(90) + 5).cast("string"), F.lit(" Pieces</p>"),
+        F.lit('<p class="wordbreak">Host '), F.col("url"), F.lit("</p></div>"),
+    )
+    detail = F.concat(
+        F.lit("<html><h1>"), name, F.lit('</h1><span class="price">Rs 75</span>'),
+        F.when(at(2) == 0, F.lit('<span class="rating">4.5</span>')).otherwise(F.lit('<span class="rating">new</span>')),
+        F.when(at(4) == 1, F.lit('<p>Plant: <span class="city">Pune</span></p>'))
+        .when(at(4) == 2, F.lit("<p><b>Works</b> in Surat, Gujarat </p>")).otherwise(F.lit("")),
+        F.when(at(6) == 0, F.lit('<div class="description">Made to order</div>')).otherwise(F.lit("")), F.lit("</html>"),
+    )
+    cards = pages.select("page_id", "url", F.concat(F.lit("<body>"), card, F.lit("<div>no card</div></body>")).alias("html"))
+    return cards, pages.where(at(7) != 0).select("page_id", address.alias("url"), detail.alias("html"))
+
+
+@query(
+    "page_listings",
+    f"""SELECT 'TI-' || page_id AS product_id, {CARD_NAME} AS name, 'https://www.tradeindia.com/products/item-c' || page_id || '.html' AS listing_url,
+      CASE WHEN page_id % 4 = 0 THEN 'Acme & Co' ELSE 'Finish - Blue' END AS supplier_name,
+      CAST(CASE WHEN page_id % 5 < 3 THEN 1000 + page_id % 1000 WHEN page_id % 7 <> 0 THEN 75 END AS DOUBLE) AS price_min,
+      CAST(CASE WHEN page_id % 5 < 3 THEN 2500.5 WHEN page_id % 7 <> 0 THEN 75 END AS DOUBLE) AS price_max,
+      CAST(page_id % 90 + 5 AS INTEGER) AS moq, CASE WHEN page_id % 7 <> 0 AND page_id % 2 = 0 THEN 4.5 END AS supplier_rating,
+      CASE WHEN page_id % 7 <> 0 AND page_id % 4 = 1 THEN 'Plant:Pune' WHEN page_id % 7 <> 0 AND page_id % 4 = 2 THEN 'in Surat, Gujarat'
+        ELSE 'India' END AS supplier_location_raw,
+      CASE WHEN page_id % 7 <> 0 AND page_id % 6 = 0 THEN 'Made to order' ELSE 'Finish - Blue; Host ' || url END AS description,
+      CASE WHEN page_id % 3 = 0 THEN 'machines|lathe' ELSE 'machines|steel|pump' END || CASE WHEN page_id > 99 THEN '|' || page_id ELSE '' END AS keywords
+    FROM pages""",
+)
+def listings_of_pages(spark, folder):
+    """Cards and detail pages of one site, put together to raw listings."""
+    cards, details = _site_pages(table(spark, folder, "pages"))
+    out = page_listings(cards, details, "tradeindia_search", "Machines", F.lit(1.0))
+    columns = "product_id name listing_url supplier_name price_min price_max moq supplier_rating supplier_location_raw description".split()
+    return out.select(*columns, F.array_join("keywords", "|").alias("keywords"))
+
+
 FENCED = """CASE turn % 4 WHEN 0 THEN 'Here:' || chr(10) || '```json' || chr(10) || '{"name":"' || role || '","moq":' || turn || '}' || chr(10) || '``` done'
   WHEN 1 THEN '```{"name":"' || role || '","moq":"' || turn || '"}```' WHEN 2 THEN ' {"name":"' || role || '"} ' ELSE text END"""
 

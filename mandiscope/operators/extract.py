@@ -110,14 +110,18 @@ def seed_keywords(category: Column, name: Column) -> Column:
     return F.concat(F.array(F.lower(category)), F.transform(F.filter(words, lambda w: F.length(w) > 2), F.lower))
 
 
+def _start(text: Column, chars: int | None) -> Column:
+    return text if chars is None else F.substring(text, 1, chars)
+
+
 def first_valid(candidates: Sequence[Column], min_length: int) -> Column:
     """First candidate text that is long enough."""
     return F.get(F.filter(F.array(*candidates), lambda c: F.length(c) >= min_length), F.lit(0))
 
 
-def card_name(titled: Column, heading: Column, card: Column) -> Column:
-    """Titled heading, else any heading, of at least three characters; else the start of the card text."""
-    return F.coalesce(first_valid([titled, heading], 3), F.substring(card, 1, 80))
+def card_name(titled: Column, heading: Column, card: Column, chars: int | None = 80) -> Column:
+    """Titled heading, else any heading, of at least three characters; else ``chars`` of the card text, or all of it."""
+    return F.coalesce(first_valid([titled, heading], 3), _start(card, chars))
 
 
 def card_supplier(named: Column, texts: Column, name: Column) -> Column:
@@ -126,26 +130,33 @@ def card_supplier(named: Column, texts: Column, name: Column) -> Column:
     return F.coalesce(first_valid([named], 2), other)
 
 
-def merge_detail(listing: DataFrame, detail: DataFrame) -> DataFrame:
+def merge_detail(
+    listing: DataFrame, detail: DataFrame, location_chars: int | None = 50, description_chars: int | None = 500
+) -> DataFrame:
     """Let the detail page override rating, location (unless just the country) and description.
 
-    Of several detail rows of a product the newest counts.
+    The start of location and description counts, the whole text if the number of characters is ``None``. Of several
+    detail rows of a product the newest counts. A price text of the detail page stands in for a missing one, if both
+    sides have that column.
     """
+    priced = "price_raw" in listing.columns and "price_raw" in detail.columns
     picked = latest_by_key(detail, "product_id", [c for c in ("scraped_at",) if c in detail.columns]).select(
         "product_id",
         F.col("supplier_rating").alias("_rating"),
-        F.substring("supplier_location_raw", 1, 50).alias("_location"),
-        F.substring("description", 1, MAX_ERROR_TEXT).alias("_description"),
+        _start(F.col("supplier_location_raw"), location_chars).alias("_location"),
+        _start(F.col("description"), description_chars).alias("_description"),
+        *([F.col("price_raw").alias("_price")] if priced else []),
     )
     joined = listing.join(picked, "product_id", "left")
     location = F.when((F.col("_location") != "") & (F.col("_location") != "India"), F.col("_location"))
-    return joined.withColumns(
-        {
-            "supplier_rating": F.coalesce(F.when(F.col("_rating") != 0, F.col("_rating")), "supplier_rating"),
-            "supplier_location_raw": F.coalesce(location, "supplier_location_raw"),
-            "description": F.coalesce(blank_to_null(F.col("_description")), "description"),
-        }
-    ).drop("_rating", "_location", "_description")
+    merged = {
+        "supplier_rating": F.coalesce(F.when(F.col("_rating") != 0, F.col("_rating")), "supplier_rating"),
+        "supplier_location_raw": F.coalesce(location, "supplier_location_raw"),
+        "description": F.coalesce(blank_to_null(F.col("_description")), "description"),
+    }
+    if priced:
+        merged["price_raw"] = F.coalesce(blank_to_null(F.col("price_raw")), "_price")
+    return joined.withColumns(merged).drop("_rating", "_location", "_description", "_price")
 
 
 def fenced_body(text: Column) -> Column:

@@ -22,16 +22,23 @@ UNSHOWN = {"script", "style", "template"}
 
 
 class Selector(NamedTuple):
-    """Where a field lives: the first element of one of the tags whose class matches.
+    """Where a field lives: the first element of a tag whose class matches, or all of them with ``many``.
 
-    ``attribute`` takes an attribute instead of the text. Several selectors of one field are tried in
-    order.
+    ``attribute`` takes an attribute instead of the text. ``having`` is an attribute and a pattern that it must match,
+    ``text`` a pattern that the element's text must match. Without a tag a field is found by its text: the first piece
+    of text that matches ``text`` counts, and the element that holds it. ``take`` says what is taken: the text of the
+    ``element``, of its ``parent``, or the ``piece`` alone. Several selectors of one field are tried in order; with
+    ``many`` their matches are listed together, in the order of the page.
     """
 
     field: str
-    tag: str
+    tag: str | None
     css_class: str | None = None
     attribute: str | None = None
+    having: tuple[str, str] | None = None
+    text: str | None = None
+    take: str = "element"
+    many: bool = False
 
 
 class _Element:
@@ -41,13 +48,17 @@ class _Element:
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children, self.texts = [], []
 
-    def walk(self) -> Iterator[_Element]:
-        stack = list(reversed(self.children))
+    def nodes(self) -> Iterator[tuple[_Element | str, _Element]]:
+        """Elements and pieces of text below, in the order of the page, each with the element that holds it."""
+        stack = [(child, self) for child in reversed(self.children)]
         while stack:
-            node = stack.pop()
+            node, holder = stack.pop()
+            yield node, holder
             if isinstance(node, _Element):
-                yield node
-                stack.extend(reversed(node.children))
+                stack.extend((child, node) for child in reversed(node.children))
+
+    def walk(self) -> Iterator[_Element]:
+        return (node for node, _ in self.nodes() if isinstance(node, _Element))
 
     def text(self) -> str:
         out, stack = [], list(reversed(self.children))
@@ -97,26 +108,52 @@ def _tree(html: str | None) -> _Element:
     return builder.root
 
 
-def _fields(scope: _Element, selectors: Sequence[tuple[Selector, re.Pattern | None]]) -> dict[str, str | None]:
-    out: dict[str, str | None] = {s.field: None for s, _ in selectors}
-    open_selectors = list(selectors)
-    best: dict[str, int] = {}
-    for element in scope.walk():
-        for rank, (selector, css) in enumerate(open_selectors):
-            if rank < best.get(selector.field, len(open_selectors)) and element.matches(selector.tag, css):
-                best[selector.field] = rank
-                out[selector.field] = (
-                    element.attributes.get(selector.attribute) if selector.attribute else element.text()
-                )
-    return out
+class _Rule:
+    """A selector with its patterns compiled, once per task."""
+
+    def __init__(self, selector: Selector):
+        self.selector = selector
+        self.css = re.compile(selector.css_class) if selector.css_class else None
+        self.having = re.compile(selector.having[1]) if selector.having else None
+        self.pattern = re.compile(selector.text) if selector.text else None
+
+    def matches(self, node: _Element | str, holder: _Element) -> bool:
+        s = self.selector
+        if isinstance(node, str):
+            return s.tag is None and holder.tag not in UNSHOWN and bool(self.pattern.search(node))
+        if s.tag is None or not node.matches(s.tag, self.css):
+            return False
+        if self.having and not self.having.search(node.attributes.get(s.having[0]) or ""):
+            return False
+        return self.pattern is None or bool(self.pattern.search(node.text()))
+
+    def taken(self, node: _Element | str, holder: _Element) -> str | None:
+        s = self.selector
+        if isinstance(node, str):
+            return node.strip() if s.take == "piece" else holder.text()
+        if s.attribute:
+            return node.attributes.get(s.attribute)
+        return (holder if s.take == "parent" else node).text()
 
 
-def _compiled(selectors: Sequence[Selector]) -> list[tuple[Selector, re.Pattern | None]]:
-    return [(s, re.compile(s.css_class) if s.css_class else None) for s in selectors]
+def _fields(scope: _Element, rules: Sequence[_Rule]) -> dict[str, str | list[str] | None]:
+    out = {r.selector.field: [] if r.selector.many else None for r in rules}
+    best: dict[str, int] = {}
+    for node, holder in scope.nodes():
+        for rank, rule in enumerate(rules):
+            field = rule.selector.field
+            if rule.selector.many:
+                if rule.matches(node, holder):
+                    out[field].append(rule.taken(node, holder))
+            elif rank < best.get(field, len(rules)) and rule.matches(node, holder):
+                best[field] = rank
+                out[field] = rule.taken(node, holder)
+    return out
 
 
-def _strings(selectors: Sequence[Selector]) -> list[T.StructField]:
-    return [T.StructField(name, T.StringType()) for name in dict.fromkeys(s.field for s in selectors)]
+def _typed(selectors: Sequence[Selector]) -> list[T.StructField]:
+    kinds = {s.field: T.ArrayType(T.StringType()) if s.many else T.StringType() for s in selectors}
+    return [T.StructField(name, kind) for name, kind in kinds.items()]
 
 
 def extract_cards(
@@ -125,40 +162,47 @@ def extract_cards(
     card_tag: str = "div",
     card_class: str | None = None,
     key: str = "page_id",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per card of a page: the key, the card's position, its whole text and the fields."""
+    """One row per card of a page: the key, columns to ``keep``, the card's position, its whole text and the fields."""
+    carried = [key, *keep]
     schema = T.StructType(
-        [pages.schema[key], T.StructField("pos", T.IntegerType()), T.StructField("card_text", T.StringType())]
-        + _strings(fields)
+        [pages.schema[c] for c in carried]
+        + [T.StructField("pos", T.IntegerType()), T.StructField("card_text", T.StringType())]
+        + _typed(fields)
     )
     names = schema.fieldNames()
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        selectors = _compiled(fields)
+        rules = [_Rule(s) for s in fields]
         css = re.compile(card_class) if card_class else None
         for batch in batches:
             rows = []
-            for ident, html in zip(batch[key], batch["html"]):
+            for page, html in zip(batch[carried].to_dict("records"), batch["html"]):
                 cards = (e for e in _tree(html).walk() if e.matches(card_tag, css))
                 for pos, card in enumerate(cards):
-                    rows.append({key: ident, "pos": pos, "card_text": card.text()} | _fields(card, selectors))
+                    rows.append(page | {"pos": pos, "card_text": card.text()} | _fields(card, rules))
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    return spread(pages.select(key, "html")).mapInPandas(parse, schema)
+    return spread(pages.select(*carried, "html")).mapInPandas(parse, schema)
 
 
-def extract_detail(pages: DataFrame, fields: Sequence[Selector], key: str = "page_id") -> DataFrame:
-    """One row per page: the key and the fields."""
-    schema = T.StructType([pages.schema[key], *_strings(fields)])
+def extract_detail(
+    pages: DataFrame, fields: Sequence[Selector], key: str = "page_id", keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per page: the key, columns to ``keep`` and the fields."""
+    carried = [key, *keep]
+    schema = T.StructType([*(pages.schema[c] for c in carried), *_typed(fields)])
     names = schema.fieldNames()
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        selectors = _compiled(fields)
+        rules = [_Rule(s) for s in fields]
         for batch in batches:
-            rows = [{key: i} | _fields(_tree(h), selectors) for i, h in zip(batch[key], batch["html"])]
+            found = zip(batch[carried].to_dict("records"), batch["html"])
+            rows = [page | _fields(_tree(html), rules) for page, html in found]
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    return spread(pages.select(key, "html")).mapInPandas(parse, schema)
+    return spread(pages.select(*carried, "html")).mapInPandas(parse, schema)
 
 
 def extract_with(
@@ -208,12 +252,25 @@ CARD_SITES: dict[str, tuple[str, str, list[Selector]]] = {
         [
             Selector("name", "h2", "card_title"),
             Selector("heading", "h2"),
-            Selector("href", "a", None, "href"),
+            Selector("href", "a", None, "href", having=("href", "/products/")),
             Selector("supplier_name", "span", "anchor-wrapper"),
+            Selector("texts", "p", many=True),
+            Selector("texts", "span", many=True),
             Selector("price_raw", "div", "price"),
+            Selector("moq_raw", "p", text="MOQ"),
+            Selector("specs", "p", "wordbreak", many=True),
         ],
     ),
 }
+# Fields found by a label or a word in the text.
+FOUND_BY_TEXT = [
+    Selector("moq_raw", None, text="(?i)MOQ|Minimum Order"),
+    Selector("unit", None, text="(?i)Unit|Packaging"),
+    Selector("response_rate", None, text="(?i)Response Rate"),
+    Selector("badge", None, text="(?i)Verified|Trusted", take="piece"),
+]
+CITIES_IN_TEXT = "Mumbai|Delhi|Bangalore|Chennai|Hyderabad|Pune|Kolkata|Ahmedabad|Jaipur|Surat|Lucknow|Indore"
+# Selectors of the detail pages by site.
 DETAIL_SITES: dict[str, list[Selector]] = {
     "tradeindia": [
         Selector("name", "h1"),
@@ -224,6 +281,7 @@ DETAIL_SITES: dict[str, list[Selector]] = {
         Selector("description", "div", "description|about|details"),
         Selector("certifications_raw", "div", "certification|badge|approval"),
         Selector("supplier_rating", "span", "rating|score"),
+        *FOUND_BY_TEXT,
     ],
     "indiamart": [
         Selector("name", "h1"),
@@ -237,16 +295,25 @@ DETAIL_SITES: dict[str, list[Selector]] = {
     "tradeindia_search": [
         Selector("price_raw", "span", "price"),
         Selector("supplier_rating", "span", "rating"),
-        Selector("supplier_location_raw", "span", "city"),
+        Selector("supplier_location_raw", "span", "city", take="parent"),
+        Selector("supplier_location_raw", None, text=CITIES_IN_TEXT, take="piece"),
         Selector("description", "div", "description"),
     ],
 }
 
 
-def site_cards(pages: DataFrame, site: str, key: str = "page_id") -> DataFrame:
+# Addresses that relative links of a site start from.
+SITE_ROOTS = {
+    "tradeindia": "https://www.tradeindia.com",
+    "indiamart": "https://www.indiamart.com",
+    "tradeindia_search": "https://www.tradeindia.com",
+}
+
+
+def site_cards(pages: DataFrame, site: str, key: str = "page_id", keep: Sequence[str] = ()) -> DataFrame:
     tag, css, fields = CARD_SITES[site]
-    return extract_cards(pages, fields, tag, css, key)
+    return extract_cards(pages, fields, tag, css, key, keep)
 
 
-def site_detail(pages: DataFrame, site: str, key: str = "page_id") -> DataFrame:
-    return extract_detail(pages, DETAIL_SITES[site], key)
+def site_detail(pages: DataFrame, site: str, key: str = "page_id", keep: Sequence[str] = ()) -> DataFrame:
+    return extract_detail(pages, DETAIL_SITES[site], key, keep)

@@ -1,8 +1,10 @@
 import json
 
 import pandas as pd
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mandiscope.plans.page_listings import detail_records, page_listings
 from mandiscope.schema import LISTING_SCHEMA, PRODUCT_SCHEMA
 from mandiscope.sources import listings, pages, warehouse
 from mandiscope.streaming.ingest import ingest
@@ -138,6 +140,35 @@ def test_pages(spark):
     assert got["https://a.com"].error is None and got[None].error
 
 
+LISTING = """<div class="fullwidthcard"><a href="/about">x</a><h2>Brass Gate Valve in bulk</h2><p>abc</p><span>Acme Ltd</span>
+ <a href="../products/valve-c9.html">see</a><p>MOQ 12 pcs</p><p class="wordbreak"> Finish: red </p></div>
+ <div class="fullwidthcard">bare</div>"""
+DETAIL = """<h1>Valve</h1><span class="amount">90</span><ul><li>Minimum Order : <b>5</b> boxes</li></ul><p>Packaging</p>
+ <script>"Response Rate: 1%"</script><p>Response Rate: 88%</p><i>a trusted name</i><span class="city-x">Pune</span>"""
+
+
+def test_pages_to_listings(spark):
+    schema = "page_id long, url string, html string"
+    cards = spark.createDataFrame([(1, "u", LISTING), (2, "u", None), (3, None, "")], schema)
+    found = spark.createDataFrame([(7, "/products/valve-c9.html", DETAIL), (8, None, None)], schema)
+    when = F.lit(5.0)
+    valve, bare = page_listings(cards, found, "tradeindia_search", "Valves", when).orderBy("pos").collect()
+    assert (valve.product_id, valve.listing_url) == ("TI-9", "https://www.tradeindia.com/products/valve-c9.html")
+    assert (valve.name, valve.supplier_name, valve.moq) == ("Brass Gate Valve in bulk", "Acme Ltd", 12)
+    assert (valve.description, valve.keywords) == ("Finish: red", ["valves", "brass", "gate", "valve"])
+    assert (bare.name, bare.listing_url, bare.price_min, bare.description) == ("bare", None, None, "bare") and bare.product_id
+    detail = detail_records(found, "tradeindia", when).where("name is not null").first()
+    assert (detail.product_id, detail.name, detail.price_raw) == ("TI-9", "Valve", "90")
+    assert (detail.moq_raw, detail.unit, detail.response_rate, detail.verified_supplier) == ("5boxes", "Packaging", 88.0, True)
+    other = spark.createDataFrame(
+        [(1, "u", '<div class="product"><a class="title" href="/x/lathe.html">Lathe</a><span class="price">5 - 7</span></div>')], schema
+    )
+    for site in ("tradeindia", "indiamart"):
+        lathe = page_listings(other, found, site, "Machines", when).first()
+        assert (lathe.product_id, lathe.name, lathe.price_min, lathe.price_max) == ("lathe", "Lathe", 5.0, 7.0)
+        assert detail_records(found, site, when).count() == 2
+
+
 def test_union_of_sources(spark):
     a = spark.createDataFrame(pd.DataFrame({"x": [1]}))
     b = spark.createDataFrame(pd.DataFrame({"y": ["t"]}))
