@@ -15,6 +15,7 @@ from mandiscope.operators.normalize import normalize_product
 from mandiscope.operators.relational import latest_by_key, upsert_rows
 from mandiscope.operators.validate import validate_products
 from mandiscope.plans.geography import state_heatmap
+from mandiscope.plans.refine import refine
 from mandiscope.session import shared_folder, spread
 from mandiscope.sources.tables import LISTING_COLUMNS, listings, spread_listings, table
 from mandiscope.sources.warehouse import current_products, save_products
@@ -69,27 +70,56 @@ def saved(spark, folder):
     return rounded(current_products(spark, path).select(*OUT), 2, "price_min", "price_max")
 
 
-@query("incremental_upsert", SAVED)
+# Every second order lands again later, without its discount.
+UPDATED = SAVED.replace("FROM lineitem", "FROM landed").replace(
+    "WITH ", "WITH landed AS (SELECT * REPLACE (CASE WHEN l_orderkey % 2 = 0 THEN 0.0 ELSE l_discount END AS l_discount) FROM lineitem), ", 1
+)
+
+
+@query("incremental_upsert", UPDATED)
 def incremental(spark, folder):
-    """Line items taken in as a file stream, refined and appended, then read back as current state."""
+    """Line items taken in by one file stream, then updates of the same products by another; read back as current state."""
     root = scratch(spark)
     lines = table(spark, folder, "lineitem")
+    updates = lines.where("l_orderkey % 2 = 0").withColumn("l_discount", F.lit(0).cast(lines.schema["l_discount"].dataType))
+    updates.write.parquet(f"{root}/updates")
 
     def prepare(batch):
-        return _prepare(listings_of(batch))
-
-    def listings_of(batch):
-        return listings(spark, folder, *LISTING_COLUMNS, lines=spread(batch))
+        return _prepare(listings(spark, folder, *LISTING_COLUMNS, lines=spread(batch)))
 
-    ingest(
-        spark, f"{folder}/lineitem*.parquet", f"{root}/products", f"{root}/progress", "parquet", lines.schema, prepare
-    ).awaitTermination()
+    for source, progress in ((f"{folder}/lineitem*.parquet", "first"), (f"{root}/updates", "second")):
+        ingest(
+            spark, source, f"{root}/products", f"{root}/{progress}", "parquet", lines.schema, prepare
+        ).awaitTermination()
     return rounded(current_products(spark, f"{root}/products").select(*OUT), 2, "price_min", "price_max")
 
 
 # State the location parser finds for the listings' four location forms.
 GEO_STATE = """CASE WHEN supplier_location LIKE '%Maharashtra%' OR supplier_location = 'Navi Mumbai' THEN 'Maharashtra'
   ELSE split_part(supplier_location, ',', 1) END"""
+FIRSTS = """firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(name), lower(supplier_name)
+  ORDER BY scraped_at DESC, product_id) AS place FROM listings) WHERE place = 1)"""
+
+
+@query(
+    "refine_and_save",
+    with_listings(
+        f"""SELECT product_id, name, {r('new_min', 2)} AS price_min, {r('new_max', 2)} AS price_max, moq, new_unit AS unit, supplier_name, category,
+        scraped_at, {GEO_STATE} AS supplier_state, len(string_split(name, ' ')) > 0 AS has_keywords FROM refined""",
+        FIRSTS,
+        RATED.replace("FROM listings l", "FROM firsts l"),
+        REFINED,
+    ),
+)
+def refined_and_saved(spark, folder):
+    """The whole chain: de-duplicate (equal signatures), normalise, enrich text and geography, validate, keep the latest."""
+    path = scratch(spark) + "/products"
+    save_products(refine(spread_listings(spark, folder), 1.0, 1.0), path, batch=1)
+    current = current_products(spark, path)
+    out = current.select(*OUT, "supplier_state", (F.size("keywords") > 0).alias("has_keywords"))
+    return rounded(out, 2, "price_min", "price_max")
+
+
 # The pruned record of the flagship has fewer columns to break ties with.
 CURRENT = REFINED.replace("refined AS", "current AS")
 HEATMAP_COLUMNS = ["state", "listings", "avg_price", "avg_rating", "top_category", "density", "level"]

@@ -63,20 +63,25 @@ def price_anomalies(
     key: str = "product_id",
     contamination: float = CONTAMINATION,
     trees: int = TREES,
+    sample_rows: int = SAMPLE,
 ) -> DataFrame | None:
-    """Complete rows with ``anomaly_score`` (low is odd) and ``is_anomaly``; ``None`` for too few rows."""
+    """Complete rows with ``anomaly_score`` (low is odd) and ``is_anomaly``; ``None`` for too few rows.
+
+    Each tree grows from ``sample_rows`` rows, as published; all rows are scored.
+    """
     features = list(features)
     spark = df.sparkSession
     complete = spread(df).na.drop(subset=features).withColumns({f: F.col(f).cast("double") for f in features})
     scaled = standardize(complete, features)
     z = [f"z_{f}" for f in features]
-    # At most one sample per tree, picked by hash so that the choice does not depend on partitioning.
-    picked = (
-        scaled.select(F.xxhash64(F.col(key), *z, F.lit(SEED)).alias("_h"), *z)
-        .orderBy("_h", *z)
-        .limit(trees * SAMPLE)
-        .toPandas()
-    )
+    # The rows of least hash, so that the choice does not depend on partitioning.
+    hashed = scaled.select(F.xxhash64(F.col(key), *z, F.lit(SEED)).alias("_h"), *z)
+    wanted = trees * sample_rows
+    # A threshold thins the rows before they are ordered; without it every task would send its own least rows.
+    share = min(1.0, 1.5 * wanted / max(complete.count(), 1))
+    picked = hashed.where(F.col("_h") <= min(int((2 * share - 1) * 2.0**63), 2**63 - 1)).orderBy("_h", *z).limit(wanted).toPandas()
+    if len(picked) < wanted and share < 1:
+        picked = hashed.orderBy("_h", *z).limit(wanted).toPandas()
     if len(picked) <= MIN_ROWS:
         return None
     sample = spark.sparkContext.broadcast(picked[z].to_numpy())
@@ -86,12 +91,12 @@ def price_anomalies(
             rows = []
             for tree in batch["id"]:
                 rng = np.random.default_rng([SEED, int(tree)])
-                size = min(SAMPLE, len(sample.value))
+                size = min(sample_rows, len(sample.value))
                 chosen = sample.value[rng.choice(len(sample.value), size, replace=False)]
                 rows += [(tree, *node) for node in grow(chosen, rng)]
             yield pd.DataFrame(rows, columns=["tree", "node", "feature", "split", "size"])
 
-    # At most trees * (2 * SAMPLE - 1) nodes.
+    # At most trees * (2 * sample_rows - 1) nodes.
     forest = spark.range(trees).repartition(spark.sparkContext.defaultParallelism).mapInPandas(build, NODE).toPandas()
     width = int(forest["node"].max()) + 1
     feature = np.full((trees, width), -1, dtype=np.int16)
@@ -100,7 +105,7 @@ def price_anomalies(
     at = (forest["tree"].to_numpy(), forest["node"].to_numpy())
     feature[at], split[at], size[at] = forest["feature"], forest["split"], forest["size"]
     leaf_depth = np.floor(np.log2(np.maximum(np.arange(width), 1))) + path_length(size)
-    shared = spark.sparkContext.broadcast((feature, split, leaf_depth, float(path_length(min(SAMPLE, len(picked))))))
+    shared = spark.sparkContext.broadcast((feature, split, leaf_depth, float(path_length(min(sample_rows, len(picked))))))
 
     @F.pandas_udf(T.DoubleType())
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

@@ -251,3 +251,11 @@ def test_neighbouring_entities(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     found = [[e["text"] for e in r[0]] for r in df.select(enrich.extract_entities(F.col("t"))).collect()]
     assert found == [["copper", "brass", "steel", "nylon", "plastic"], ["Brass", "copper"], [], [], ["5 mm", "6 mm"]]
+
+
+def test_lists_that_arrive_as_text(spark):
+    rows = [("a", '["x", "y"]'), ("b", "x, y"), ("c", None), ("d", "[broken"), ("e", " [] ")]
+    df = spark.createDataFrame(rows, "product_id string, certifications string")
+    got = {r.product_id: (r.certifications, r.coercion_errors) for r in validate.coerce_types(df).collect()}
+    wrong = (None, ["certifications: type"])
+    assert got == {"a": (["x", "y"], []), "b": wrong, "c": (None, []), "d": wrong, "e": ([], [])}
