@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mandiscope.llm.common import whole_text
+from mandiscope.llm.common import bounded, whole_text
 from mandiscope.session import written
 
 #: Tokens of a sequence.
@@ -278,7 +278,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, files: dict | None = None) -
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
     slots = spark.createDataFrame(plan, "length long, low long, high long, many long, first long, at long")
     by_length = slots.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("low", "high", "many", "first", "at"))).alias("slots"))
-    placed = ranked.join(F.broadcast(by_length), "length").withColumn(
+    placed = ranked.join(bounded(by_length), "length").withColumn(
         "slot", F.get(F.filter("slots", lambda s: (F.col("rank") >= s["low"]) & (F.col("rank") <= s["high"])), F.lit(0))
     )
     within = F.col("rank") - F.col("slot.low")
