@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,10 +15,8 @@ from mandiscope.session import written
 
 #: Kinds of protected entities, in order.
 KINDS = ("email", "ip", "card", "phone")
-#: Words on each side of an entity that count as occurring with it.
-NEAR = 8
-#: A term has to occur near an entity in so many different texts before it can be said to reveal it.
-SUPPORT = 3
+#: Documents that every term is taken to have besides its own, in which entities are as frequent as in the corpus.
+PRIOR = 1.0
 #: Share of an entity's information that a term may disclose before it is generalised, and before it is removed.
 GENERALISE, REMOVE = 0.75, 0.95
 
@@ -28,6 +26,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W_]+")
+#: Country codes of two digits; those that begin with 1 or 7 have one, all others three.
+_TWO_DIGITS = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 
 _SPANS = "array<struct<kind:int,start:int,end:int>>"
 
@@ -70,44 +70,53 @@ def entity_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def _contexts(text: str, spans: list[tuple[int, int, int]]) -> set[tuple[str, str]]:
-    """(entity, term) for the words within ``NEAR`` words of each entity and outside of all entities."""
-    if not spans:
-        return set()
+def entity_classes(kind: int, value: str) -> list[str]:
+    """The exact entity and the classes that it shares with others: kind, domain, network, issuer or country code."""
+    value = value.lower()
+    digits = re.sub("[^0-9]", "", value)
+    if kind == 0:
+        shared = ["@" + value.rsplit("@", 1)[1]]
+    elif kind == 1:
+        shared = [value.rsplit(".", n)[0] + ".*" for n in (1, 2)]
+    elif kind == 2:
+        shared = [digits[:6] + "*"]
+    else:
+        size = 1 if digits[0] in "17" else 2 if digits[:2] in _TWO_DIGITS else 3
+        shared = [f"+{digits[:size]}*"]
+    return [f"{KINDS[kind]}:{v}" for v in (value if kind < 2 else digits, *shared, "*")]
+
+
+def _free_words(text: str, spans: list[tuple[int, int, int]]) -> set[str]:
+    """The words of the whole text outside of all entities, in lower case."""
     inside = sorted((s, e) for _, s, e in spans)
-    free, k = [], 0
+    free, k, reach = set(), 0, 0
     for m in _TERM.finditer(text):
-        while k < len(inside) and inside[k][1] <= m.start():
+        while k < len(inside) and inside[k][0] < m.end():
+            reach = max(reach, inside[k][1])
             k += 1
-        if k == len(inside) or m.end() <= inside[k][0]:
-            free.append((m.start(), m.group().lower()))
-    starts = np.array([s for s, _ in free])
-    pairs = set()
-    for kind, start, end in spans:
-        at = int(np.searchsorted(starts, start)) if len(starts) else 0
-        value = text[start:end].lower()
-        value = f"{KINDS[kind]}:{value if kind < 2 else re.sub('[^0-9]', '', value)}"
-        pairs.update((value, t) for _, t in free[max(0, at - NEAR) : at + NEAR])
-    return pairs
+        if reach <= m.start():
+            free.add(m.group().lower())
+    return free
 
 
 def _entities(docs: DataFrame) -> DataFrame:
-    """Per row: id, key, base ``spans`` and ``near``, the terms near each entity."""
+    """Per row: id, key, base ``spans``, the ``classes`` of its entities and the ``words`` outside of them if there are any."""
 
-    @F.pandas_udf(f"spans {_SPANS}, near array<struct<entity:string,term:string>>")
+    @F.pandas_udf(f"spans {_SPANS}, classes array<string>, words array<string>")
     def find(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            spans, near = [], []
+            spans, classes, words = [], [], []
             for text in batch:
                 own = entity_spans(text) if text else []
                 spans.append([{"kind": k, "start": s, "end": e} for k, s, e in own])
-                near.append([{"entity": e, "term": t} for e, t in sorted(_contexts(text, own))])
-            yield pd.DataFrame({"spans": spans, "near": near})
+                classes.append(sorted({c for k, s, e in own for c in entity_classes(k, text[s:e])}))
+                words.append(sorted(_free_words(text, own)) if own else [])
+            yield pd.DataFrame({"spans": spans, "classes": classes, "words": words})
 
     # No kind matches without a digit or an @.
     text = F.when(whole_text().rlike("[0-9@]"), whole_text()).otherwise(F.lit(""))
     return docs.select("doc_id", *document_key(), F.xxhash64(whole_text()).alias("body"), find(text).alias("p")).select(
-        "doc_id", *KEY, "body", "p.spans", "p.near"
+        "doc_id", *KEY, "body", "p.*"
     )
 
 
@@ -118,27 +127,31 @@ def _terms(text: str = "text"):
 def disclosing_terms(docs: DataFrame, entities: DataFrame) -> DataFrame:
     """Terms that reveal a protected entity: ``term``, ``disclosure`` and ``action`` (generalise or remove).
 
-    With p over the documents of the corpus, an entity c has the information -log2 p(c), and a term t near it gives away
-    the pointwise mutual information log2 p(c, t) / (p(c) p(t)) of it. ``disclosure`` is the largest share over all
-    entities; it is 1 if the term occurs with the entity only.
+    An entity is an exact value or a class of ``entity_classes``, and a term goes with it if both are in one text; equal
+    texts count once. With p over the distinct texts, an entity c has the information -log2 p(c), and a term t gives away
+    the pointwise mutual information log2 p(c|t) / p(c) of it. p(c|t) is shrunk towards p(c) by ``PRIOR`` texts, and the
+    share that is given away by b / (b + 1) if b texts hold both, since few texts say little. ``disclosure`` is the
+    largest share over all entities.
     """
-    total = docs.count()
-    near = entities.where(F.size("near") > 0).select("body", *KEY, F.explode("near").alias("n")).select("body", *KEY, "n.*")
-    both = (
-        near.groupBy("entity", "term")
-        .agg(F.count("*").alias("both"), F.count_distinct("body").alias("texts"))
-        .where(F.col("texts") >= SUPPORT)
-    )
-    both = written(both)
-    per_entity = near.groupBy("entity", *KEY).agg(F.count_distinct("body").alias("one")).groupBy("entity").agg(F.count("*").alias("with_entity"))
+    # The share is at most b / (b + 1), so what is in fewer texts cannot reach the threshold.
+    least = math.ceil(GENERALISE / (1 - GENERALISE))
+    total = float(max(entities.select("body").distinct().count(), 1))
+    texts = entities.where(F.size("classes") > 0).dropDuplicates(["body"])
+    per_entity = texts.select(F.explode("classes").alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
+    per_entity = bounded(written(per_entity.where(F.col("with_entity") >= least)))
+    recurring = texts.select("words", F.explode("classes").alias("entity")).join(per_entity.select("entity"), "entity")
+    both = recurring.select("entity", F.explode("words").alias("term")).groupBy("entity", "term").agg(F.count("*").alias("both"))
+    both = written(both.where(F.col("both") >= least))
     asked = bounded(both.select("term").distinct())
+    distinct = docs.select(F.xxhash64(whole_text()).alias("body"), whole_text().alias("text")).dropDuplicates(["body"])
     per_term = (
-        docs.select(F.explode(F.array_distinct(_terms())).alias("term")).join(asked, "term").groupBy("term").agg(F.count("*").alias("with_term"))
+        distinct.select(F.explode(F.array_distinct(_terms())).alias("term")).join(asked, "term").groupBy("term").agg(F.count("*").alias("with_term"))
     )
     joined = both.join(per_entity, "entity").join(per_term, "term")
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("with_entity"))
-    mutual = F.log2(F.lit(float(max(total, 1))) * F.col("both") / (F.col("with_entity") * F.greatest("with_term", "both")))
-    share = F.when(information > 0, F.least(F.lit(1.0), mutual / information)).otherwise(F.lit(0.0))
+    prior = F.col("with_entity") / F.lit(total)
+    given = (F.col("both") + PRIOR * prior) / (F.greatest("with_term", "both") + PRIOR)
+    seen = F.col("both") / (F.col("both") + 1)
+    share = F.when(prior < 1, seen * F.least(F.lit(1.0), F.log2(given / prior) / -F.log2(prior))).otherwise(F.lit(0.0))
     worst = joined.groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
     return worst.withColumn("action", F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise"))
 
@@ -147,8 +160,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: ``doc_id`` and ``spans``, all (kind, start, end) by kind and start.
 
     Kinds 0 to 3 are the base kinds, 4 are terms to generalise, 5 terms to remove; a term is a whole word, in either case,
-    wherever it occurs outside of base spans. Null and empty texts have none. Rows equal in id and text are treated
-    alike and count one by one in the statistics; ids may be null. An empty table gives no rows. Other columns are ignored.
+    wherever it occurs outside of base spans. Null and empty texts have none. Rows of equal text count once in the
+    statistics; ids may be null. An empty table gives no rows. Other columns are ignored.
     """
     entities = written(_entities(docs))
     terms = written(disclosing_terms(docs, entities))
@@ -174,7 +187,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     placed = texts.select(*KEY, place("text", "terms").alias("more"))
     outside = F.filter("more", lambda m: ~F.exists("spans", lambda s: (m["start"] < s["end"]) & (s["start"] < m["end"])))
     added = F.when(F.col("more").isNull(), F.col("spans")).otherwise(F.concat("spans", outside))
-    return entities.drop("near", "body").join(placed, KEY, "left").select("doc_id", F.array_sort(added).alias("spans"))
+    return entities.drop("classes", "words", "body").join(placed, KEY, "left").select("doc_id", F.array_sort(added).alias("spans"))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:

@@ -169,6 +169,25 @@ def test_terms_that_reveal_an_entity(spark):
     assert "secret.one" not in clean[0] and "[email]" in clean[0] and clean[101] == other[1][1]
 
 
+def test_terms_that_reveal_a_class_of_entities(spark):
+    filler = " ".join(f"w{i}" for i in range(20))
+    told = [(k, f"helpdesk {filler} case{k} write to user{k}@firm{k}.example.com") for k in range(12)]
+    other = [(100 + k, f"note {k} {filler} goes on") for k in range(300)]
+    once = [(900, f"solitary {filler} calls +49 30 1234567")]
+    df = spark.createDataFrame(told + other + other[:50] + once, "doc_id long, text string")
+    texts = dict(told + other + once)
+    found = {r["doc_id"]: {texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] >= 4} for r in pii.personal_data(df).collect()}
+    assert all("helpdesk" in found[k] and not found[k] & {f"case{k}", "w3"} for k in range(12))
+    assert not found[900] and not found[105]
+
+
+def test_entity_classes():
+    assert pii.entity_classes(0, "Jo@Mail.example.com") == ["email:jo@mail.example.com", "email:@mail.example.com", "email:*"]
+    assert pii.entity_classes(1, "10.0.2.255") == ["ip:10.0.2.255", "ip:10.0.2.*", "ip:10.0.*", "ip:*"]
+    assert pii.entity_classes(3, "+49 (30) 123456")[1:] == ["phone:+49*", "phone:*"]
+    assert pii.entity_classes(3, "+353 1 2345678")[1] == "phone:+353*" and pii.entity_classes(3, "+1 212 5550100")[1] == "phone:+1*"
+
+
 def plain_secrets(text):
     found = []
     for rank, rule in enumerate(secrets.RULES):
