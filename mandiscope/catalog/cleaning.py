@@ -70,7 +70,7 @@ def exact_duplicates(spark, folder):
 @query("fuzzy_dedup")
 def fuzzy(spark, folder):
     data = listings(spark, folder, "product_id", "name", "supplier_name", "scraped_at")
-    return dedup.fuzzy_dedup(data, 0.85, 0.95)
+    return dedup.fuzzy_dedup(data)
 
 
 @query("name_similarity")
