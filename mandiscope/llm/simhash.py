@@ -8,11 +8,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mandiscope.llm.common import whole_text
+from mandiscope.llm.common import KEY, document_key, field, keyed, whole_text
 from mandiscope.llm.components import components
 from mandiscope.session import written
 
@@ -91,18 +91,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     other. Rows that repeat an id or a text link like any others. A component whose ids are all null has the
     component null. An empty table gives no rows. Other columns are ignored.
     """
-    prints = written(docs.select("doc_id", fingerprint(whole_text()).alias("fp")))
+    return _linked(docs).select("doc_id", "fp", "component_id")
+
+
+def _linked(docs: DataFrame, *more: Column) -> DataFrame:
+    prints = written(docs.select("doc_id", *more, fingerprint(whole_text()).alias("fp")))
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(first.select("fp")))
     rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents whose component holds a smaller id; all columns stay. Rows without an id stay."""
-    gone = near_duplicates(docs).where("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row with an id of each component, that of least (id, text hash); all columns stay.
+
+    Rows are told apart by id and text, so an id that repeats with other texts loses only what is near a kept row. Of
+    rows equal in both one stays, any one if other columns differ. Rows without an id stay.
+    """
+    rows = written(_linked(docs, *document_key()).where("doc_id is not null").select("root", "doc_id", *KEY))
+    at = F.struct("doc_id", *KEY)
+    first = rows.groupBy("root").agg(F.min(at).alias("first"))
+    gone = rows.join(first, "root").where(at != F.col("first")).select(*KEY).distinct()
+    again = written(rows.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1").select(*KEY))
+    left = keyed(docs).join(gone, KEY, "left_anti")
+    if not again.isEmpty():
+        left = left.join(again, KEY, "left_anti").unionByName(left.join(again, KEY, "left_semi").dropDuplicates(KEY))
+    return left.select(*[field(c).alias(c) for c in docs.columns])
 
 
 def hexadecimal(column: str = "fp"):

@@ -415,6 +415,13 @@ def test_simhash(docs):
     assert sorted(ids, key=key) == sorted((i for k, (i, _) in enumerate(ROWS) if i is None or i == least[roots[k]]), key=key)
 
 
+def test_one_row_of_a_component_is_kept(spark):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    made = [(1, a), (9, a), (9, b), (12, b), (1, a), (None, a)]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(df).collect()), key=str) == sorted([(1, a), (9, b), (None, a)], key=str)
+
+
 @pytest.mark.parametrize("paired", [0, 3, 64])
 def test_links_of_crowded_blocks(spark, monkeypatch, paired):
     monkeypatch.setattr(simhash, "PAIRED", paired)
