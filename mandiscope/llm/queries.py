@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mandiscope.llm import decontamination, fingerprints, language, lines, packing, pii, secrets, simhash, substrings, toxicity
+from mandiscope.llm import decontamination, fingerprints, language, lines, mixing, packing, periodic, pii, secrets, simhash, spelling, substrings, toxicity
 from mandiscope.llm.common import load
 
 
@@ -53,6 +53,18 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(load(spark, folder, "documents"))
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(load(spark, folder, "documents"), spelling.misspelt)
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.periodic_digest(load(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_paragraph_fingerprints": (op1_paragraph_fingerprints, None),
     "op2_personal_data": (op2_personal_data, None),
@@ -64,4 +76,7 @@ QUERIES = {
     "op8_language": (op8_language, None),
     "op9_line_dedup": (op9_line_dedup, lines.LINES_SQL),
     "op10_simhash": (op10_simhash, None),
+    "op11_mixing": (op11_mixing, mixing.MIXING_SQL),
+    "op12_spelling": (op12_spelling, spelling.SPELLING_SQL),
+    "op13_periodic_runs": (op13_periodic_runs, periodic.PERIODIC_SQL),
 }

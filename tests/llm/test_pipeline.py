@@ -18,7 +18,7 @@ def test_sql(spark, folder, name):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline(spark, folder):
