@@ -5,10 +5,13 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,9 +23,9 @@ CAPACITY = 2048
 #: Entries of a worker's memory of encoded chunks; it starts anew when full.
 REMEMBERED = 400_000
 #: Fillings the search may try over all; the best packing found so far is kept.
-SEARCH = 200_000
-#: Undominated fillings tried for one largest document.
-FILLINGS = 8
+SEARCH = 20_000
+#: In fillings of more documents, only pairs are looked at for an exchange against one document.
+SUBSETS = 8
 
 _WORKER: dict = {}
 
@@ -99,113 +102,176 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, files: dict | None =
     piece of one may be shorter. Null and empty texts are the id 0 alone.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(files), bytes(4)
         for batch in batches:
             rows = []
-            for row, text in enumerate(batch["text"]):
+            for row, text in enumerate(batch.column("text").to_pylist()):
                 ids = encode(text) + end
                 total, begin, piece = len(ids) // 4, 0, 0
                 stop = total % capacity or capacity
                 while begin < total:
                     rows.append((row, piece, begin, stop - begin, zlib.crc32(ids[4 * begin : 4 * stop])))
                     begin, stop, piece = stop, stop + capacity, piece + 1
-            out = pd.DataFrame(rows, columns=["row", "piece", "start", "length", "ids_crc32"])
-            out.insert(0, "doc_id", batch["doc_id"].take(out.pop("row")).to_numpy())
-            yield out
+            row, piece, *rest = zip(*rows) if rows else [()] * 5
+            columns = [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in rest]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     narrow = docs.select("doc_id", whole_text().alias("text"))
-    return narrow.mapInPandas(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return narrow.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def _fillings(room: int, lengths: list[int], left: dict[int, int], most: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``: sets of lengths of which none can be exchanged for one that fits better.
-
-    Lengths come in descending order. Fillings with the least waste come first; an exact fit ends the search.
+def _most_bins(counts: dict[int, int], capacity: int) -> int:
+    """Bins that ``counts`` need at least: for each length t, documents over ``capacity - t`` stand alone, those over
+    half of it can't share a bin, and what these leave open is all that is left for documents from t on."""
+    lengths = sorted(counts)
+    total = sum(n * k for n, k in counts.items())
+    best = -(-total // capacity)
+    sums, numbers = [0], [0]
+    for n in lengths:
+        sums.append(sums[-1] + n * counts[n])
+        numbers.append(numbers[-1] + counts[n])
+    half = bisect_right(lengths, capacity // 2)
+    wide, wide_sum = numbers[-1] - numbers[half], sums[-1] - sums[half]
+    for at in range(half):
+        over = bisect_right(lengths, capacity - lengths[at])
+        alone, alone_sum = numbers[-1] - numbers[over], sums[-1] - sums[over]
+        room = (wide - alone) * capacity - (wide_sum - alone_sum)
+        best = max(best, wide + max(0, -(-(sums[half] - sums[at] - room) // capacity)))
+    return max(best, wide)
+
+
+def _fillings(room: int, waste: int, left: dict[int, int]) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """All undominated (waste, filling) of ``room`` from ``left`` with at most ``waste``, those of least waste first.
+
+    A filling is dominated if one or more of its documents can be exchanged for a single longer one, or several for one
+    as long, or if one more fits. Which sums the lengths from each on can give is kept as the bits of a number, so
+    only fillings that end within the waste are walked. Among equal waste, those of long documents come first, which
+    keeps the short ones for later.
     """
-    found: list[tuple[int, tuple[int, ...]]] = []
-    steps = 0
-    stack = [(room, 0, ())]
-    smallest = lengths[-1] if lengths else room + 1
-    while stack and steps < 400 and len(found) < 4 * most:
-        space, at, taken = stack.pop()
-        steps += 1
-        while at < len(lengths) and lengths[at] > space:
-            at += 1
-        options = []
-        for k in range(at, min(at + 3, len(lengths))):
-            if taken.count(lengths[k]) < left[lengths[k]]:
-                options.append((space - lengths[k], k, (*taken, lengths[k])))
-        if not options:
-            if at >= len(lengths) or space < smallest or all(taken.count(x) >= left[x] for x in lengths[at : at + 3]):
-                found.append((space, taken))
-                if not space:
-                    break
+    lengths = [n for n in sorted(left, reverse=True) if n <= room]
+    full = (1 << room + 1) - 1
+    sums = [1]
+    for n in reversed(lengths):
+        reach, many, step = sums[-1], left[n], 1
+        while many > 0 and step * n <= room:
+            used = min(step, many)
+            reach |= reach << used * n & full
+            many -= used
+            step *= 2
+        sums.append(reach)
+    sums.reverse()
+    ascending = lengths[::-1]
+
+    def dominated(taken: tuple[int, ...], spare: int) -> bool:
+        own = Counter(taken)
+
+        def free(low: int, high: int) -> bool:
+            at = bisect_left(ascending, low)
+            while at < len(ascending) and ascending[at] <= high:
+                if left[ascending[at]] > own[ascending[at]]:
+                    return True
+                at += 1
+            return False
+
+        if free(1, spare) or any(free(n + 1, n + spare) for n in own):
+            return True
+        if len(taken) > SUBSETS:
+            return any(free(sum(p), sum(p) + spare) for p in set(combinations(taken, 2)))
+        return any(free(sum(p), sum(p) + spare) for size in range(2, len(taken) + 1) for p in set(combinations(taken, size)))
+
+    for spare in range(min(waste, room) + 1):
+        goal = room - spare
+        if not sums[0] >> goal & 1:
             continue
-        stack.extend(reversed(options))
-    exact = {space for space, _ in found if not space}
-
-    def dominated(space: int, taken: tuple[int, ...]) -> bool:
-        return any(x + d in left and left[x + d] > taken.count(x + d) for x in set(taken) for d in range(1, space + 1))
-
-    kept = [t for s, t in sorted(found) if s in exact or not dominated(s, t)] or [t for _, t in sorted(found)]
-    return list(dict.fromkeys(kept))[:most]
+        stack = [(goal, 0, ())]
+        while stack:
+            open_, at, taken = stack.pop()
+            if not open_:
+                if not dominated(taken, spare):
+                    yield spare, taken
+                continue
+            if at == len(lengths) or not sums[at] >> open_ & 1:
+                continue
+            n = lengths[at]
+            for many in range(min(left[n], open_ // n) + 1):
+                if sums[at + 1] >> open_ - many * n & 1:
+                    stack.append((open_ - many * n, at + 1, taken + (n,) * many))
 
 
 def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search: int = SEARCH) -> list[tuple[tuple[int, ...], int]]:
     """Sequences for ``counts`` documents of each length, as (lengths in one sequence, number of such sequences).
 
-    Branch and bound over the largest length left: its undominated fillings are tried, those of least waste first,
-    each as often as the counts allow; a branch ends when its waste shows that it cannot need fewer sequences than the
-    incumbent. The first incumbent is best fit. Documents of equal length are the same, so the work depends on the
-    number of lengths (``capacity`` at most), not on the number of documents.
+    Branch and bound: at every depth all undominated fillings around the largest length left are tried in turn, those
+    of least waste first, each as often as the counts allow and then once. A branch ends when its waste, or the least
+    number of bins for what it leaves, shows that it can't beat the incumbent, which best fit gives first, or when
+    the same documents were left before. Without the budget the result is the least number of sequences.
+
+    The budget is ``search`` fillings tried (20 000 take some seconds). When it is spent, the best packing found so far
+    is returned; it is never worse than best fit. Documents of equal length are alike, so the
+    work depends on the number of lengths, ``capacity`` at most, and not on the number of documents.
     """
-    total = sum(n * k for n, k in counts.items())
-    bound = -(-total // capacity)
-    best = _best_fit(counts, capacity)
-    fewest = sum(k for _, k in best)
-    spent = 0
-
-    def descend(plan: list, left: dict[int, int], choose: int) -> None:
-        nonlocal best, fewest, spent
-        slack = (fewest - 1) * capacity - total
-        waste = sum((capacity - sum(p)) * k for p, k in plan)
-        used = sum(k for _, k in plan)
-        while left and fewest > bound and spent < search:
-            largest = max(left)
-            one = {n: k for n, k in left.items()}
-            one[largest] -= 1
-            lengths = sorted((n for n, k in one.items() if k), reverse=True)
-            options = _fillings(capacity - largest, lengths, one, FILLINGS)
-            spent += len(options) + 1
-            filling = (largest, *options[min(choose, len(options) - 1)]) if options else (largest,)
-            choose = 0
-            times = min(left[n] // filling.count(n) for n in set(filling))
-            plan.append((filling, times))
-            used += times
-            waste += (capacity - sum(filling)) * times
-            for n in filling:
-                left[n] -= times
-            for n in set(filling):
-                if not left[n]:
-                    del left[n]
-            if waste > slack:
-                return
-        if not left and used < fewest:
-            best, fewest = list(plan), used
-
-    descend([], dict(counts), 0)
-    # Other branches: keep a prefix of the incumbent and take another filling after it.
-    for depth in range(len(best) - 1, -1, -1):
-        for choose in range(1, FILLINGS):
-            if fewest <= bound or spent >= search:
-                return best
-            prefix, left = list(best[:depth]), dict(counts)
-            for filling, times in prefix:
-                for n in filling:
-                    left[n] -= times
-            descend(prefix, {n: k for n, k in left.items() if k > 0}, choose)
+    left = {n: k for n, k in counts.items() if k}
+    total = sum(n * k for n, k in left.items())
+    best = _best_fit(left, capacity)
+    fewest, bound = sum(k for _, k in best), _most_bins(left, capacity)
+    plan: list[tuple[tuple[int, ...], int]] = []
+    used = waste = spent = 0
+    seen: dict[frozenset, int] = {}
+
+    def options() -> Iterator[tuple[tuple[int, ...], int, int]]:
+        largest = max(left)
+        rest = {n: k - (n == largest) for n, k in left.items() if k > (n == largest)}
+        slack = (fewest - 1) * capacity - total - waste
+        singles = []
+        for spare, others in _fillings(capacity - largest, slack, rest):
+            own = Counter((largest, *others))
+            most = min(left[n] // k for n, k in own.items())
+            filling = (largest, *others)
+            if spare * most > slack:
+                most = slack // spare
+            yield filling, most, spare
+            if most > 1:
+                singles.append((filling, 1, spare))
+        yield from singles
+
+    def put(filling: tuple[int, ...], times: int) -> None:
+        for n in filling:
+            left[n] = left.get(n, 0) + times
+            if not left[n]:
+                del left[n]
+
+    stack = [options()] if left and fewest > bound else []
+    while stack and fewest > bound and spent < search:
+        step = next(stack[-1], None)
+        if step is None:
+            stack.pop()
+            if plan:
+                filling, times = plan.pop()
+                put(filling, times)
+                used -= times
+                waste -= (capacity - sum(filling)) * times
+            continue
+        filling, times, spare = step
+        spent += 1
+        if waste + spare * times > (fewest - 1) * capacity - total:
+            continue
+        put(filling, -times)
+        plan.append((filling, times))
+        used += times
+        waste += spare * times
+        ahead = iter(())
+        if not left:
+            if used < fewest:
+                best, fewest = list(plan), used
+        else:
+            state = frozenset(left.items())
+            if seen.get(state, used + 1) > used:
+                seen[state] = used
+                if used + _most_bins(left, capacity) < fewest:
+                    ahead = options()
+        stack.append(ahead)
     return best
 
 

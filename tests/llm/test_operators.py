@@ -271,6 +271,55 @@ def test_bin_completion(seed):
     assert sum(t for _, t in plan) <= sum(t for _, t in packing._best_fit(counts, 2048))
 
 
+def fewest_bins(lengths, capacity):
+    """Exhaustive: documents in descending order go to every bin that differs or to a new one."""
+    lengths, best = sorted(lengths, reverse=True), [len(lengths)]
+
+    def place(at, bins):
+        if len(bins) >= best[0]:
+            return
+        if at == len(lengths):
+            best[0] = len(bins)
+            return
+        for k in {b: i for i, b in enumerate(bins) if b >= lengths[at]}.values():
+            place(at + 1, [*bins[:k], bins[k] - lengths[at], *bins[k + 1 :]])
+        place(at + 1, [*bins, capacity - lengths[at]])
+
+    place(0, [])
+    return best[0]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_bin_completion_is_exact_on_few_pieces(seed):
+    random = np.random.default_rng(seed)
+    if seed % 3:
+        lengths = random.integers(1, (30, 51)[seed % 2], random.integers(1, 13)).tolist()
+    else:
+        lengths = [int(n) for _ in range(5) for n in np.diff([0, *np.sort(random.choice(np.arange(1, 50), 2, replace=False)), 50])]
+    plan = packing.complete_bins(dict(Counter(lengths)), 50)
+    used = Counter(n for filling, times in plan for n in filling for _ in range(times))
+    assert used == Counter(lengths) and all(sum(f) <= 50 for f, _ in plan)
+    assert sum(t for _, t in plan) == fewest_bins(lengths, 50)
+    assert packing._most_bins(Counter(lengths), 50) <= fewest_bins(lengths, 50)
+
+
+@pytest.mark.parametrize("bins, capacity", [(5, 100), (8, 100), (20, 100), (20, 2048), (100, 100), (300, 100)])
+def test_bin_completion_of_perfect_packings(bins, capacity):
+    random = np.random.default_rng(bins)
+    counts = Counter()
+    for _ in range(bins):
+        cuts = np.sort(random.choice(np.arange(1, capacity), 2, replace=False))
+        counts.update(np.diff([0, *cuts, capacity]).tolist())
+    assert sum(t for _, t in packing.complete_bins(dict(counts), capacity)) == bins
+
+
+def test_large_ids_beside_null_ids(spark):
+    ids = [1152921504606859321, None, 1152921504606859322, None, -(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(i, "a few words") for i in ids], "doc_id long, text string").repartition(1)
+    key = lambda i: (i is None, i or 0)
+    assert sorted((r.doc_id for r in packing.pack(df).collect()), key=key) == sorted(ids, key=key)
+
+
 def test_bin_completion_beats_best_fit():
     counts = {6: 1, 5: 2, 4: 1, 3: 2, 2: 2}
     assert sum(t for _, t in packing.complete_bins(counts, 10)) == 3
