@@ -25,11 +25,9 @@ def priced(df: DataFrame) -> DataFrame:
 
 def category_price_stats(df: DataFrame) -> DataFrame:
     data = priced(df).select("category", "avg_price")
-    moments = data.groupBy("category").agg(
-        F.avg("avg_price").alias("mean"), F.stddev_samp("avg_price").alias("std"), F.count("*").alias("n")
-    )
-    median = exact_quantiles(data, ["category"], "avg_price", {"median": 0.5}).drop("n")
-    return moments.join(median, "category").select("category", "mean", "median", "std", "n")
+    moments = {"mean": F.avg("avg_price"), "std": F.stddev_samp("avg_price")}
+    found = exact_quantiles(data, ["category"], "avg_price", {"median": 0.5}, also=moments)
+    return found.select("category", "mean", "median", "std", "n")
 
 
 def _moq_trimmed(df: DataFrame) -> DataFrame:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mandiscope.functions.scalars import with_row
-from mandiscope.operators.quantiles import exact_quantiles
+from mandiscope.operators.quantiles import column_quantiles, exact_quantiles
+from mandiscope.session import written
 
 
 def product_count(df: DataFrame) -> DataFrame:
@@ -134,18 +137,14 @@ def long_values(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
 
 
 def numeric_describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles per numeric column."""
-    long = long_values(df, columns or numeric_columns(df), "double").where(F.col("value").isNotNull())
-    moments = long.groupBy("column").agg(
-        F.count("*").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    """Count, mean, sample deviation, extremes and exact quartiles per numeric column, in two scans of the rows."""
+
+    def moments(v: Column) -> dict[str, Column]:
+        return {"mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v)}
+
     shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    quartiles = exact_quantiles(long, ["column"], "value", shares, few_groups=True).drop("n")
-    return moments.join(quartiles, "column").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    found = column_quantiles(df, columns or numeric_columns(df), shares, also=moments)
+    return found.withColumnRenamed("n", "count").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None, k: int = 5) -> DataFrame:
@@ -188,9 +187,11 @@ def boxplot_stats(df: DataFrame, value: str, groups: Sequence[str] = ()) -> Data
     """Quartiles, whiskers at the extreme points within 1.5 interquartile ranges, outlier count."""
     groups = list(groups)
     data = df.select(*groups, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    quartiles = exact_quantiles(data, groups, "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    quartiles = written(exact_quantiles(data, groups, "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}))
     if groups:
-        fenced = data.join(quartiles, groups)
+        # The written table has a known size, so the planner moves it and not the rows.
+        side = quartiles.withColumnsRenamed({g: f"_{g}" for g in groups})
+        fenced = data.join(side, reduce(and_, (F.col(g) == F.col(f"_{g}") for g in groups)))
     else:
         fenced = with_row(data, quartiles)
     reach = 1.5 * (F.col("q3") - F.col("q1"))

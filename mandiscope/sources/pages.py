@@ -12,8 +12,10 @@ from html.parser import HTMLParser
 from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from mandiscope.session import spread
 
@@ -166,25 +168,29 @@ def extract_cards(
 ) -> DataFrame:
     """One row per card of a page: the key, columns to ``keep``, the card's position, its whole text and the fields."""
     carried = [key, *keep]
-    schema = T.StructType(
-        [pages.schema[c] for c in carried]
-        + [T.StructField("pos", T.IntegerType()), T.StructField("card_text", T.StringType())]
-        + _typed(fields)
-    )
-    names = schema.fieldNames()
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    found = [T.StructField("pos", T.IntegerType()), T.StructField("card_text", T.StringType()), *_typed(fields)]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = [_Rule(s) for s in fields]
         css = re.compile(card_class) if card_class else None
         for batch in batches:
-            rows = []
-            for page, html in zip(batch[carried].to_dict("records"), batch["html"]):
+            at, rows = [], []
+            for page, html in enumerate(batch.column("html").to_pylist()):
                 cards = (e for e in _tree(html).walk() if e.matches(card_tag, css))
                 for pos, card in enumerate(cards):
-                    rows.append(page | {"pos": pos, "card_text": card.text()} | _fields(card, rules))
-            yield pd.DataFrame(rows, columns=names, dtype=object)
+                    at.append(page)
+                    rows.append({"pos": pos, "card_text": card.text()} | _fields(card, rules))
+            yield _beside(batch.select(carried), at, rows, found)
 
-    return spread(pages.select(*carried, "html")).mapInPandas(parse, schema)
+    schema = T.StructType([*(pages.schema[c] for c in carried), *found])
+    return spread(pages.select(*carried, "html")).mapInArrow(parse, schema)
+
+
+def _beside(carried: pa.RecordBatch, at: list[int], rows: list[dict], fields: Sequence[T.StructField]) -> pa.RecordBatch:
+    """``rows`` beside the carried values of the pages ``at``, which stay in Arrow, so ids keep all digits beside nulls."""
+    kept = carried.take(pa.array(at, pa.int64()))
+    made = pa.RecordBatch.from_pylist(rows, schema=to_arrow_schema(T.StructType(list(fields))))
+    return pa.RecordBatch.from_arrays([*kept.columns, *made.columns], [*kept.schema.names, *made.schema.names])
 
 
 def extract_detail(
@@ -192,17 +198,16 @@ def extract_detail(
 ) -> DataFrame:
     """One row per page: the key, columns to ``keep`` and the fields."""
     carried = [key, *keep]
-    schema = T.StructType([*(pages.schema[c] for c in carried), *_typed(fields)])
-    names = schema.fieldNames()
+    found = _typed(fields)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules = [_Rule(s) for s in fields]
         for batch in batches:
-            found = zip(batch[carried].to_dict("records"), batch["html"])
-            rows = [page | _fields(_tree(html), rules) for page, html in found]
-            yield pd.DataFrame(rows, columns=names, dtype=object)
+            rows = [_fields(_tree(html), rules) for html in batch.column("html").to_pylist()]
+            yield _beside(batch.select(carried), list(range(len(rows))), rows, found)
 
-    return spread(pages.select(*carried, "html")).mapInPandas(parse, schema)
+    schema = T.StructType([*(pages.schema[c] for c in carried), *found])
+    return spread(pages.select(*carried, "html")).mapInArrow(parse, schema)
 
 
 def extract_with(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mandiscope.plans.page_listings import detail_records, page_listings
+from mandiscope.plans.refine import record_step
 from mandiscope.schema import LISTING_SCHEMA, PRODUCT_SCHEMA
 from mandiscope.sources import listings, pages, warehouse
 from mandiscope.streaming.ingest import ingest
@@ -174,3 +175,20 @@ def test_union_of_sources(spark):
     b = spark.createDataFrame(pd.DataFrame({"y": ["t"]}))
     got = [tuple(r) for r in listings.union_sources(None, a, b).select("x", "y").collect()]
     assert sorted(got, key=str) == [(1, None), (None, "t")]
+
+
+def test_large_ids_beside_null_ids(spark):
+    ids = [1152921504606859321, None, 1152921504606859322]
+    html = '<div class="product"><a class="title">Pump</a></div><h1>Valve</h1>'
+    data = spark.createDataFrame([(i, html, i) for i in ids], "page_id long, html string, more long").repartition(1)
+    cards = pages.extract_cards(data, [pages.Selector("name", "a", "title")], "div", "product", keep=["more"]).collect()
+    assert {(r.page_id, r.more, r.name, r.pos) for r in cards} == {(i, i, "Pump", 0) for i in ids}
+    detail = pages.extract_detail(data, [pages.Selector("name", "h1")], keep=["more"]).collect()
+    assert {(r.page_id, r.more, r.name) for r in detail} == {(i, i, "Valve") for i in ids}
+
+
+def test_record_step_sees_nulls_and_whole_integers(spark):
+    data = spark.createDataFrame([(1152921504606859321, 1.5, ["a"]), (None, None, None)], "id long, x double, tags array<string>").repartition(1)
+    step = record_step(lambda r: {"id": r["id"], "told": repr((r["id"], r["x"], r["tags"]))}, T.StructType().add("id", "long").add("told", "string").add("absent", "double"))
+    got = {(r.id, r.told, r.absent) for r in step(data).collect()}
+    assert got == {(1152921504606859321, "(1152921504606859321, 1.5, ['a'])", None), (None, "(None, None, None)", None)}
