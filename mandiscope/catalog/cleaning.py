@@ -75,8 +75,10 @@ def fuzzy(spark, folder):
 
 @query("name_similarity")
 def name_similarity(spark, folder):
-    a, b = F.lower("p_name"), F.lower(F.concat("p_type", F.lit(" "), F.split_part("p_name", F.lit(" "), F.lit(2))))
-    return table(spark, folder, "part").select("p_partkey", F.round(dedup.similarity(a, b), 6).alias("ratio"))
+    """How many other names of parts each name is similar to, by the join of ``fuzzy_dedup``."""
+    names = table(spark, folder, "part").select(dedup.signature("p_name")[0].alias("name"))
+    found = dedup.similar_values(names, names, dedup.attribute(names, "name", 0.85))
+    return found.groupBy(F.col("a").alias("name")).agg((F.count("*") - 1).alias("n_similar"))
 
 
 # ---- normalisation --------------------------------------------------------------------------------
