@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mandiscope.catalog.analysis import HEATMAP
 from mandiscope.catalog.cleaning import CLEAN_UNIT, RATED, UNITS, money_sql
 from mandiscope.catalog.registry import query, r, rounded, with_listings
 from mandiscope.ml import anomaly, cluster, price_model, topics
+from mandiscope.ml.features import prepare
 from mandiscope.operators.geo import enrich_geo
 from mandiscope.operators.normalize import normalize_product
 from mandiscope.operators.relational import latest_by_key, upsert_rows
@@ -167,25 +170,37 @@ def kmeans_elbow(spark, folder):
     return cluster.elbow(listings(spark, folder, *PROFILE))
 
 
-# Models that several queries report on are fitted once per application and folder.
+# Models that several queries report on are fitted once per application and state of the files they were fitted on.
 _FITTED: dict[tuple, object] = {}
 
 
-def _once(name, spark, folder, fit):
-    at = (name, spark.sparkContext.applicationId, folder)
-    if at not in _FITTED:
-        _FITTED[at] = fit()
-    return _FITTED[at]
+def file_state(df: DataFrame) -> tuple:
+    """Name, size and time of every file ``df`` reads, so that new data under an old path is told apart."""
+    spark = df.sparkSession
+    found = []
+    for name in df.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        found.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def _once(name, data, fit):
+    """``fit(data)``, held for the latest state of its files."""
+    at, state = (name, data.sparkSession.sparkContext.applicationId), file_state(data)
+    if _FITTED.get(at, (None,))[0] != state:
+        _FITTED[at] = state, fit(data)
+    return _FITTED[at][1]
 
 
 def _price_model(spark, folder):
     columns = [*PROFILE, "category", "subcategory", "unit", "supplier_region", "supplier_country"]
-    return _once("price", spark, folder, lambda: price_model.fit_price_model(listings(spark, folder, *columns)))
+    return _once("price", listings(spark, folder, *columns), price_model.fit_price_model)
 
 
 def _topics(spark, folder):
     texts = table(spark, folder, "documents").select("doc_id", "text")
-    return _once("topics", spark, folder, lambda: topics.fit_topics(texts, "text"))
+    return _once("topics", texts, lambda data: topics.fit_topics(data, "text"))
 
 
 @query("price_model_metrics")
@@ -198,11 +213,49 @@ def price_predictions(spark, folder):
     return _price_model(spark, folder).predictions
 
 
+TEST_ROW = "CAST('0x' || substr(md5(product_id || ':42'), 1, 8) AS BIGINT) % 1000 < 200"
+
+
+@query("price_test_rows", with_listings(f"SELECT product_id, {r('(price_min + price_max) / 2')} AS actual, TRUE AS predicted FROM listings WHERE {TEST_ROW}"))
+def price_test_rows(spark, folder):
+    """The rows held out of the price model with their prices, and whether each has a prediction."""
+    found = _price_model(spark, folder).predictions
+    return rounded(found.select("product_id", "actual", F.col("predicted").isNotNull().alias("predicted")), 6, "actual")
+
+
 @query("feature_importance")
 def feature_importance(spark, folder):
     return price_model.feature_importance(_price_model(spark, folder))
 
 
+GAPS = """gaps AS (SELECT product_id, CASE WHEN moq % 7 = 0 THEN NULL ELSE supplier_rating END AS supplier_rating,
+  CASE WHEN moq % 5 = 1 THEN NULL ELSE response_rate END AS response_rate, CASE WHEN moq < 4 THEN NULL ELSE moq END AS moq,
+  price_min, CASE WHEN moq % 9 = 2 THEN NULL ELSE price_max END AS price_max, CASE WHEN moq % 3 = 0 THEN NULL ELSE category END AS category FROM listings)"""
+GAP_NUMBERS = "supplier_rating response_rate moq price_min price_max".split()
+FILLED = f"""filled AS (SELECT product_id, {', '.join(f"coalesce({c}, (SELECT median({c}) FROM gaps)) AS {c}" for c in GAP_NUMBERS)},
+  coalesce(category, (SELECT category FROM gaps WHERE category IS NOT NULL GROUP BY category ORDER BY count(*) DESC, category LIMIT 1)) AS category FROM gaps),
+  averaged AS (SELECT *, (price_min + price_max) / 2 AS avg_price FROM filled)"""
+
+
+@query(
+    "filled_profiles",
+    with_listings(
+        "SELECT product_id, category, " + ", ".join(r(f"({f} - (SELECT avg({f}) FROM averaged)) / (SELECT stddev_pop({f}) FROM averaged)") + f" AS z_{f}" for f in cluster.FEATURES) + " FROM averaged",
+        GAPS,
+        FILLED,
+    ),
+)
+def filled_profiles(spark, folder):
+    """Profiles of listings with gaps: imputed, averaged and scaled by the pipeline that the models use, saved and loaded."""
+    gap = {"supplier_rating": F.col("moq") % 7 == 0, "response_rate": F.col("moq") % 5 == 1, "price_max": F.col("moq") % 9 == 2, "category": F.col("moq") % 3 == 0}
+    data = listings(spark, folder, *PROFILE, "category")
+    data = data.withColumns({c: F.when(~w, F.col(c)) for c, w in gap.items()}).withColumn("moq", F.when(F.col("moq") >= 4, F.col("moq")))
+    path = scratch(spark) + "/prepared"
+    prepare(GAP_NUMBERS, ["category"], cluster.FEATURES, averaged=True).fit(data).write().overwrite().save(path)
+    out = PipelineModel.load(path).transform(data).select("product_id", "category", *(f"z_{f}" for f in cluster.FEATURES))
+    return rounded(out, 6, *(f"z_{f}" for f in cluster.FEATURES))
+
+
 @query("price_anomalies")
 def price_anomalies(spark, folder):
     return anomaly.price_anomalies(listings(spark, folder, "product_id", "price_min", "price_max", "moq"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mandiscope.functions.scalars import with_row
-from mandiscope.ml.features import standardize
+from mandiscope.ml.features import prepare
 from mandiscope.operators.quantiles import exact_quantiles
 from mandiscope.session import durable, spread
 
@@ -65,20 +65,20 @@ def price_anomalies(
     trees: int = TREES,
     sample_rows: int = SAMPLE,
 ) -> DataFrame | None:
-    """Complete rows with ``anomaly_score`` (low is odd) and ``is_anomaly``; ``None`` for too few rows.
+    """Rows with gaps filled, ``anomaly_score`` (low is odd) and ``is_anomaly``; ``None`` for too few rows.
 
     Each tree grows from ``sample_rows`` rows, as published; all rows are scored.
     """
     features = list(features)
     spark = df.sparkSession
-    complete = spread(df).na.drop(subset=features).withColumns({f: F.col(f).cast("double") for f in features})
-    scaled = standardize(complete, features)
+    dealt = spread(df)
+    scaled = prepare(features, [], features).fit(dealt).transform(dealt).na.drop(subset=features)
     z = [f"z_{f}" for f in features]
     # The rows of least hash, so that the choice does not depend on partitioning.
     hashed = scaled.select(F.xxhash64(F.col(key), *z, F.lit(SEED)).alias("_h"), *z)
     wanted = trees * sample_rows
     # A threshold thins the rows before they are ordered; without it every task would send its own least rows.
-    share = min(1.0, 1.5 * wanted / max(complete.count(), 1))
+    share = min(1.0, 1.5 * wanted / max(scaled.count(), 1))
     picked = hashed.where(F.col("_h") <= min(int((2 * share - 1) * 2.0**63), 2**63 - 1)).orderBy("_h", *z).limit(wanted).toPandas()
     if len(picked) < wanted and share < 1:
         picked = hashed.orderBy("_h", *z).limit(wanted).toPandas()

@@ -1,10 +1,13 @@
+import io
 import math
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from mandiscope.ml import anomaly, cluster, features, price_model, topics
+from mandiscope.catalog import store
+from mandiscope.ml import anomaly, cluster, features, price_model, topics, trees
 from mandiscope.sources.tables import listings, table
 
 
@@ -66,3 +69,117 @@ def test_features(spark):
     assert scaled[0] == pytest.approx(1.0) and scaled[1] == 0.0
     codes = features.label_codes(spark.createDataFrame([(f"v{i:03d}",) for i in range(100)] * 2, "t string"), "t")
     assert [r.code for r in codes.orderBy("value").collect()] == list(range(100))
+
+
+def test_prepared_rows_are_the_same_after_saving(spark, tmp_path):
+    rows = [("a", 1.0, 10, "x"), ("b", None, 20, None), ("c", 5.0, None, "x"), ("d", 3.0, 40, "y"), ("e", None, None, None)]
+    df = spark.createDataFrame(rows, "id string, price_min double, price_max int, kind string").withColumn("none", F.lit(None).cast("string"))
+    fitted = features.prepare(["price_min", "price_max"], ["kind", "none"], ["price_min", "avg_price"], averaged=True).fit(df)
+    fitted.write().overwrite().save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    want = {r.id: r for r in fitted.transform(df).collect()}
+    assert want == {r.id: r for r in loaded.transform(df).collect()}
+    assert (want["e"].price_min, want["e"].price_max, want["e"].kind, want["e"].none) == (3.0, 20.0, "x", "unknown")
+    assert want["e"].avg_price == 11.5 and sum(r.z_price_min for r in want.values()) == pytest.approx(0)
+    fresh = spark.createDataFrame([("f", None, 7, None)], "id string, price_min double, price_max int, kind string").withColumn("none", F.lit("n"))
+    assert tuple(loaded.transform(fresh).first())[:6] == ("f", 3.0, 7.0, "x", "n", 5.0)
+
+
+def test_columns_without_values_stay_null(spark):
+    df = spark.createDataFrame([(1.0, None), (None, None)], "x double, y double")
+    out = features.prepare(["x", "y"], [], ["x", "y"]).fit(df).transform(df).collect()
+    assert [(r.x, r.y, r.z_x, r.z_y) for r in out] == [(1.0, None, 0.0, None)] * 2
+
+
+def test_rows_with_gaps_stay_in_the_models(spark, products):
+    gaps = products.withColumn("moq", F.when(F.col("moq") > 5, F.col("moq"))).withColumn("price_max", F.when(F.col("moq") < 40, F.col("price_max")))
+    assert gaps.where("moq is null or price_max is null").count() > 0
+    assert cluster.supplier_clusters(gaps, restarts=1).where("supplier_cluster is not null").count() == products.count()
+    assert anomaly.price_anomalies(gaps).where("anomaly_score is not null").count() == products.count()
+    fitted = price_model.fit_price_model(gaps, trees=3, max_depth=3)
+    tested = price_model.split_by_hash(products, "product_id")[1]
+    assert fitted.predictions.where("predicted is not null").count() == tested.count()
+
+
+def plain_lloyd(x, centres, most):
+    for step in range(most + 1):
+        own = ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        cost = ((x - centres[own]) ** 2).sum()
+        moved = np.array([x[own == k].mean(0) if (own == k).any() else c for k, c in enumerate(centres)])
+        if step == most or np.abs(moved - centres).max() <= cluster.TOLERANCE:
+            return centres, cost
+        centres = moved
+
+
+@pytest.mark.parametrize("most", [0, 2, 300])
+def test_runs_that_share_passes_are_those_of_each_alone(spark, most):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(c, 0.3, (60, 2)) for c in (0, 3, 7)])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double").repartition(5)
+    asked = [(2, 0), (3, 0), (3, 1), (5, 4)]
+    hashed = df.withColumn("h", F.xxhash64("a", "b", F.lit(cluster.SEED))).orderBy("h", "a", "b").collect()
+    sample = np.array([tuple(r)[:2] for r in hashed])
+    for run, found in cluster.shared_runs(df, asked, most).items():
+        centres, cost = plain_lloyd(x, cluster._first_centres(sample, *run), most)
+        assert found.centres == pytest.approx(centres) and found.cost == pytest.approx(cost)
+    assert cluster.shared_runs(df.limit(0), asked) == {}
+
+
+def plain_tree(x, y, depth):
+    def build(rows, left):
+        best = (1e-9, None, None)
+        if left and len(rows) > 1:
+            for j in range(x.shape[1]):
+                own = rows[np.argsort(x[rows, j], kind="stable")]
+                for i in range(1, len(own)):
+                    if x[own[i - 1], j] < x[own[i], j]:
+                        a, b = y[own[:i]], y[own[i:]]
+                        gain = a.sum() ** 2 / len(a) + b.sum() ** 2 / len(b) - y[rows].sum() ** 2 / len(rows)
+                        if gain > best[0] + 1e-9:
+                            best = (gain, j, (x[own[i - 1], j] + x[own[i], j]) / 2)
+        if best[1] is None:
+            return y[rows].mean()
+        over = x[rows, best[1]] > best[2]
+        return best[1], best[2], build(rows[~over], left - 1), build(rows[over], left - 1)
+
+    def told(row, node):
+        while isinstance(node, tuple):
+            node = node[3] if row[node[0]] > node[1] else node[2]
+        return node
+
+    root = build(np.arange(len(y)), depth)
+    return np.array([told(row, root) for row in x])
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_tree_is_that_of_plain_search(seed):
+    rng = np.random.default_rng(seed)
+    x = np.column_stack([rng.integers(0, 6, 60), rng.normal(size=60), rng.integers(0, 3, 60)]).astype(float)
+    y = rng.normal(size=60) + x[:, 0]
+    nodes, gains = trees.grow_tree(x, y, seed)
+    packed = io.BytesIO()
+    np.savez_compressed(packed, at=nodes[:, [0, 2]].astype(np.int32), value=nodes[:, [1, 3]])
+    assert trees.predict_sums(x, [packed.getvalue()]) == pytest.approx(plain_tree(x, y, seed))
+    assert seed == 0 or gains.sum() <= ((y - y.mean()) ** 2).sum() + 1e-6
+
+
+def test_forest_takes_all_rows_whatever_the_partitions(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(f"r{k}", float(a), float(b), float(a * 3 + rng.normal() / 9)) for k, (a, b) in enumerate(zip(rng.integers(0, 20, 500), rng.normal(size=500)))]
+    df = spark.createDataFrame(rows, "key string, a double, b double, y double")
+    made = [trees.grow_forest(df.repartition(n), ["a", "b"], "y", "key", 12, 30, 42, share=40) for n in (1, 6)]
+    first, second = ({r.tree: bytes(r.nodes) for r in m.collect()} for m in made)
+    assert first == second and set(first) == set(range(12))
+    want = {r.key: r.predicted for r in trees.predict(df, made[0], ["a", "b"]).collect()}
+    monkeypatch.setattr(trees, "SENT", 1)
+    assert {r.key: r.predicted for r in trees.predict(df, made[0], ["a", "b"]).collect()} == pytest.approx(want)
+    assert np.mean([(want[k] - y) ** 2 for k, _, _, y in rows]) < 3
+
+
+def test_fits_are_held_for_the_state_of_their_files(spark, tmp_path):
+    path, fits = str(tmp_path / "t.parquet"), []
+    fit = lambda data: fits.append(1) or data.count()
+    spark.range(5).write.parquet(path)
+    assert store._once("t", spark.read.parquet(path), fit) == store._once("t", spark.read.parquet(path), fit) == 5
+    spark.range(7).write.mode("overwrite").parquet(path)
+    assert store._once("t", spark.read.parquet(path), fit) == 7 and len(fits) == 2
