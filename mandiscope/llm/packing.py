@@ -22,8 +22,10 @@ from mandiscope.session import written
 CAPACITY = 2048
 #: Entries of a worker's memory of encoded chunks; it starts anew when full.
 REMEMBERED = 400_000
-#: Fillings the search may try over all; the best packing found so far is kept.
-SEARCH = 20_000
+#: Work of the search: lengths looked at and steps of fillings walked, over all; the best packing found so far is kept.
+SEARCH = 4_000_000
+#: The least number of bins for what a branch leaves is only worked out for so many lengths; waste bounds all branches.
+BOUNDED = 200
 #: In fillings of more documents, only pairs are looked at for an exchange against one document.
 SUBSETS = 8
 
@@ -142,9 +144,11 @@ def _most_bins(counts: dict[int, int], capacity: int) -> int:
     return max(best, wide)
 
 
-def _fillings(room: int, waste: int, left: dict[int, int]) -> Iterator[tuple[int, tuple[int, ...]]]:
+def _fillings(room: int, waste: int, left: dict[int, int]) -> Iterator[tuple[int, tuple[int, ...] | None]]:
     """All undominated (waste, filling) of ``room`` from ``left`` with at most ``waste``, those of least waste first.
 
+    Between them, (steps, None) tells the work done.
+
     A filling is dominated if one or more of its documents can be exchanged for a single longer one, or several for one
     as long, or if one more fits. Which sums the lengths from each on can give is kept as the bits of a number, so
     only fillings that end within the waste are walked. Among equal waste, those of long documents come first, which
@@ -181,15 +185,23 @@ def _fillings(room: int, waste: int, left: dict[int, int]) -> Iterator[tuple[int
             return any(free(sum(p), sum(p) + spare) for p in set(combinations(taken, 2)))
         return any(free(sum(p), sum(p) + spare) for size in range(2, len(taken) + 1) for p in set(combinations(taken, size)))
 
+    steps = len(lengths)
     for spare in range(min(waste, room) + 1):
         goal = room - spare
         if not sums[0] >> goal & 1:
             continue
         stack = [(goal, 0, ())]
         while stack:
+            steps += 1
+            if steps >= 1000:
+                yield steps, None
+                steps = 0
             open_, at, taken = stack.pop()
             if not open_:
+                steps += 2 ** min(len(taken), SUBSETS)
                 if not dominated(taken, spare):
+                    yield steps, None
+                    steps = 0
                     yield spare, taken
                 continue
             if at == len(lengths) or not sums[at] >> open_ & 1:
@@ -208,9 +220,10 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search: int
     number of bins for what it leaves, shows that it can't beat the incumbent, which best fit gives first, or when
     the same documents were left before. Without the budget the result is the least number of sequences.
 
-    The budget is ``search`` fillings tried (20 000 take some seconds). When it is spent, the best packing found so far
-    is returned; it is never worse than best fit. Documents of equal length are alike, so the
-    work depends on the number of lengths, ``capacity`` at most, and not on the number of documents.
+    The budget is ``search`` steps, each a length looked at or a partial filling walked (4 000 000 take some seconds). When
+    it is spent, the best packing found so far is returned; it is never worse than best fit. Documents of
+    equal length are alike, so the work depends on the number of lengths, ``capacity`` at most, and not on the number of
+    documents. What was left before is remembered by a 64-bit hash, of which a clash could only hide a better packing.
     """
     left = {n: k for n, k in counts.items() if k}
     total = sum(n * k for n, k in left.items())
@@ -218,14 +231,20 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search: int
     fewest, bound = sum(k for _, k in best), _most_bins(left, capacity)
     plan: list[tuple[tuple[int, ...], int]] = []
     used = waste = spent = 0
-    seen: dict[frozenset, int] = {}
+    seen: dict[int, int] = {}
 
     def options() -> Iterator[tuple[tuple[int, ...], int, int]]:
+        nonlocal spent
         largest = max(left)
         rest = {n: k - (n == largest) for n, k in left.items() if k > (n == largest)}
         slack = (fewest - 1) * capacity - total - waste
         singles = []
         for spare, others in _fillings(capacity - largest, slack, rest):
+            if others is None:
+                spent += spare
+                if spent >= search:
+                    return
+                continue
             own = Counter((largest, *others))
             most = min(left[n] // k for n, k in own.items())
             filling = (largest, *others)
@@ -254,7 +273,7 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search: int
                 waste -= (capacity - sum(filling)) * times
             continue
         filling, times, spare = step
-        spent += 1
+        spent += 1 + len(left)
         if waste + spare * times > (fewest - 1) * capacity - total:
             continue
         put(filling, -times)
@@ -266,10 +285,10 @@ def complete_bins(counts: dict[int, int], capacity: int = CAPACITY, search: int
             if used < fewest:
                 best, fewest = list(plan), used
         else:
-            state = frozenset(left.items())
+            state = hash(frozenset(left.items()))
             if seen.get(state, used + 1) > used:
                 seen[state] = used
-                if used + _most_bins(left, capacity) < fewest:
+                if len(left) > BOUNDED or used + _most_bins(left, capacity) < fewest:
                     ahead = options()
         stack.append(ahead)
     return best
