@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mandiscope.catalog.analysis import HEATMAP
 from mandiscope.catalog.cleaning import CLEAN_UNIT, RATED, UNITS, money_sql
 from mandiscope.catalog.registry import query, r, rounded, with_listings
+from mandiscope.functions.scalars import with_row
 from mandiscope.ml import anomaly, cluster, price_model, topics
 from mandiscope.ml.features import prepare
 from mandiscope.operators.geo import enrich_geo
@@ -21,8 +22,10 @@ from mandiscope.plans.geography import state_heatmap
 from mandiscope.plans.refine import refine
 from mandiscope.session import shared_folder, spread
 from mandiscope.sources.tables import LISTING_COLUMNS, listings, spread_listings, table
-from mandiscope.sources.warehouse import current_products, save_products
+from mandiscope.sources import buckets
+from mandiscope.sources.warehouse import current_products, read_log, save_products
 from mandiscope.streaming.ingest import ingest
+from mandiscope.streaming.volume import read_daily_volume, stream_daily_volume
 
 MIDDLE = 946684800.0  # 2000-01-01
 STORED = "product_id scraped_at name price_min price_max currency moq supplier_name".split()
@@ -73,6 +76,54 @@ def saved(spark, folder):
     return rounded(current_products(spark, path).select(*OUT), 2, "price_min", "price_max")
 
 
+@query(
+    "save_counts",
+    with_listings("""SELECT count(*) FILTER (WHERE ok) AS accepted, count(*) FILTER (WHERE NOT ok) AS rejected, count(*) FILTER (WHERE ok) AS kept,
+      count(*) FILTER (WHERE NOT ok) AS rejects FROM (SELECT coalesce(supplier_rating BETWEEN 0 AND 5, true) AND coalesce(response_rate BETWEEN 0 AND 100, true) AS ok FROM listings)"""),
+)
+def save_counts(spark, folder):
+    """The numbers one validated write observes, beside the rows it has kept."""
+    root = scratch(spark)
+    counts = save_products(spread_listings(spark, folder), f"{root}/products", 1, f"{root}/rejects")
+    kept = read_log(spark, f"{root}/products").agg(F.count("*").alias("kept"))
+    gone = spark.read.parquet(f"{root}/rejects").agg(F.count("*").alias("rejects")) if counts["rejected"] else spark.range(1).select(F.lit(0).cast("long").alias("rejects"))
+    told = spark.range(1).select(*(F.lit(counts[c]).cast("long").alias(c) for c in ("accepted", "rejected")))
+    return with_row(with_row(told, kept), gone)
+
+
+BUCKETED = f"""SELECT {', '.join(STORED)} FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY write DESC, scraped_at DESC, name DESC,
+  price_min DESC, price_max DESC, currency DESC, moq DESC, supplier_name DESC) AS rn FROM (
+  SELECT *, 0 AS write FROM listings
+  UNION ALL SELECT * REPLACE (price_min * 2 AS price_min), 1 AS write FROM listings WHERE moq = 7
+  UNION ALL SELECT * REPLACE ('renamed' AS name), 2 AS write FROM listings WHERE moq IN (7, 8) AND currency = 'USD')) WHERE rn = 1"""
+
+
+@query("bucketed_upsert", with_listings(BUCKETED))
+def bucketed(spark, folder):
+    """Listings in hash buckets after two upserts, merged on read."""
+    path, data = scratch(spark) + "/products", listings(spark, folder, *STORED)
+    buckets.create(data, path, buckets=32)
+    buckets.upsert(data.where("moq = 7").withColumn("price_min", F.col("price_min") * 2), path)
+    buckets.upsert(data.where("moq in (7, 8) and currency = 'USD'").withColumn("name", F.lit("renamed")), path)
+    return buckets.read(spark, path)
+
+
+@query("event_day_volume", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1")
+def event_day_volume(spark, folder):
+    """Events per day by a stream over event time that takes them in by files of eight days, restarted half way."""
+    root, events = scratch(spark), table(spark, folder, "events")
+    part = F.floor(F.unix_date(F.to_date("ts")) / 8)
+    late = part + (F.unix_date(F.to_date("ts")) % 8 == 7).cast("int")
+    dealt = events.withColumn("file", F.when(F.col("event_id") % 3 == 0, late).otherwise(part))
+    landings = sorted(r.file for r in dealt.select("file").distinct().collect() if r.file is not None)
+    for at in landings:
+        # The last day of each file lands in part with the next, one day late at most.
+        dealt.where(F.col("file") == at).drop("file").coalesce(1).write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+        stream_daily_volume(stream, f"{root}/volume", f"{root}/progress", late="10 days").awaitTermination()
+    return read_daily_volume(spark, f"{root}/volume")
+
+
 # Every second order lands again later, without its discount.
 UPDATED = SAVED.replace("FROM lineitem", "FROM landed").replace(
     "WITH ", "WITH landed AS (SELECT * REPLACE (CASE WHEN l_orderkey % 2 = 0 THEN 0.0 ELSE l_discount END AS l_discount) FROM lineitem), ", 1

@@ -1,14 +1,16 @@
 import json
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mandiscope.plans.page_listings import detail_records, page_listings
 from mandiscope.plans.refine import record_step
 from mandiscope.schema import LISTING_SCHEMA, PRODUCT_SCHEMA
-from mandiscope.sources import listings, pages, warehouse
+from mandiscope.sources import buckets, listings, pages, warehouse
 from mandiscope.streaming.ingest import ingest
+from mandiscope.streaming.volume import read_daily_volume, stream_daily_volume
 
 RECORD = {"product_id": "TI-1", "name": "Pump", "price_min": 1.0, "price_max": 2.0, "currency": "USD",
           "keywords": ["a", "b"], "entities": [{"text": "steel", "label": "MATERIAL"}], "scraped_at": 5.0}
@@ -192,3 +194,85 @@ def test_record_step_sees_nulls_and_whole_integers(spark):
     step = record_step(lambda r: {"id": r["id"], "told": repr((r["id"], r["x"], r["tags"]))}, T.StructType().add("id", "long").add("told", "string").add("absent", "double"))
     got = {(r.id, r.told, r.absent) for r in step(data).collect()}
     assert got == {(1152921504606859321, "(1152921504606859321, 1.5, ['a'])", None), (None, "(None, None, None)", None)}
+
+
+def test_buckets_merge_on_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(2000).select(F.concat(F.lit("p"), "id").alias("product_id"), F.col("id").cast("double").alias("scraped_at"), F.lit("old").alias("name"))
+    first = buckets.create(rows.union(rows.limit(5)), path, buckets=50)
+    assert buckets.read(spark, path).count() == 2000 and sum(n for v in first.rows.values() for n in v) == 2000
+    before = buckets.read(spark, path)
+    few = spark.createDataFrame([("p7", 1.0, "new"), ("p7", 2.0, "newer"), ("q1", None, "added")], "product_id string, scraped_at double, name string")
+    second = buckets.upsert(few, path)
+    # Two keys touch two buckets; all others keep their files, and a reader keeps its version.
+    touched = {b for b in second.rows if second.rows[b] != first.rows.get(b)}
+    assert len(touched) <= 2 and second.base == first.base and set(second.changes) == touched
+    assert before.where("name <> 'old'").count() == 0 and before.count() == 2000
+    got = {r.product_id: r.name for r in buckets.read(spark, path).where("name <> 'old'").collect()}
+    assert got == {"p7": "newer", "q1": "added"} and buckets.read(spark, path).count() == 2001
+    assert buckets.read(spark, path, version=1).count() == 2000
+    asked = buckets.read(spark, path, keys=["p7", "q1", "absent"])
+    assert {(r.product_id, r.name) for r in asked.collect()} == {("p7", "newer"), ("q1", "added")} and len(asked.inputFiles()) <= 8
+
+
+def test_buckets_with_many_changes_are_written_anew(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(400).select(F.col("id").alias("product_id"), F.lit(1.0).alias("scraped_at"), F.lit(0).alias("n"))
+    buckets.create(rows, path, buckets=8)
+    for n in range(1, 4):
+        buckets.upsert(rows.where(f"product_id % 5 = {n}").withColumn("n", F.lit(n)), path)
+    held = buckets.manifest(spark, path)
+    assert max(held.base.values()) > 1
+    want = {i: i % 5 if i % 5 in (1, 2, 3) else 0 for i in range(400)}
+    assert {r.product_id: r.n for r in buckets.read(spark, path).collect()} == want
+    assert buckets.vacuum(spark, path, keep=1) and {r.product_id: r.n for r in buckets.read(spark, path).collect()} == want
+    buckets.upsert(rows.limit(0), path)
+    assert buckets.read(spark, path).count() == 400
+
+
+def test_second_writer_of_a_version_fails(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(10).select(F.col("id").alias("product_id"), F.lit(1.0).alias("scraped_at"))
+    old = buckets.create(rows, path, buckets=4)
+    buckets.upsert(rows, path)
+    taken = buckets.manifest(spark, path).version
+    with pytest.raises(buckets.Conflict):
+        buckets._commit(spark, path, old._replace(version=taken))
+    assert buckets.create(rows.limit(0), str(tmp_path / "none"), buckets=4).base == {}
+    assert buckets.read(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_save_reads_the_batch_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    data = frame(spark, product(), product(product_id="TI-2"), product(product_id="TI-3", name=None))
+    counted = data.mapInArrow(counting, data.schema)
+    assert warehouse.save_products(counted, str(tmp_path / "t"), 1, str(tmp_path / "r")) == {"accepted": 2, "rejected": 1}
+    assert reads.value == 3 and warehouse.read_log(spark, str(tmp_path / "t")).count() == 2
+    assert warehouse.save_products(data.limit(0), str(tmp_path / "t"), 2) == {"accepted": 0, "rejected": 0}
+    assert not list((tmp_path / "t/_staged").iterdir())
+
+
+def test_daily_volume_of_a_stream(spark, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+
+    def land(*times):
+        made = spark.createDataFrame([(t,) for t in times], "t string").select(F.to_timestamp("t").alias("ts"))
+        made.coalesce(1).write.mode("append").parquet(source)
+        stream_daily_volume(spark.readStream.schema("ts timestamp").parquet(source), target, progress).awaitTermination()
+        return {str(r.day): r.n for r in read_daily_volume(spark, target).collect()}
+
+    assert land("2024-01-01 05:00:00", "2024-01-01 23:59:59", "2024-01-02 00:00:00") == {"2024-01-01": 2, "2024-01-02": 1}
+    # One day late counts; the newest event moves the border for what lands next.
+    assert land("2024-01-01 10:00:00", "2024-01-09 12:00:00") == {"2024-01-01": 3, "2024-01-02": 1, "2024-01-09": 1}
+    assert land("2024-01-02 08:00:00", "2024-01-08 01:00:00") == {"2024-01-01": 3, "2024-01-02": 1, "2024-01-08": 1, "2024-01-09": 1}
+    # A run that was lost before it was marked as done writes its folder again.
+    last = max(int(p.name) for p in (tmp_path / "progress/commits").glob("[0-9]*"))
+    for done in (tmp_path / "progress/commits").glob(f"*{last}*"):
+        done.unlink()
+    assert land("2024-01-09 13:00:00")["2024-01-09"] == 2
