@@ -22,7 +22,7 @@ from mandiscope.plans.geography import state_heatmap
 from mandiscope.plans.refine import refine
 from mandiscope.session import shared_folder, spread
 from mandiscope.sources.tables import LISTING_COLUMNS, listings, spread_listings, table
-from mandiscope.sources import buckets
+from mandiscope.sources import buckets, paging
 from mandiscope.sources.warehouse import current_products, read_log, save_products
 from mandiscope.streaming.ingest import ingest
 from mandiscope.streaming.volume import read_daily_volume, stream_daily_volume
@@ -108,6 +108,20 @@ def bucketed(spark, folder):
     return buckets.read(spark, path)
 
 
+@query(
+    "page_snapshot",
+    with_listings("SELECT product_id, name, price_max FROM listings ORDER BY name, product_id, price_max LIMIT 50 OFFSET 75"),
+)
+def page_snapshot(spark, folder):
+    """Two pages of an ordered snapshot: the fourth by its number, the fifth by the last key of the fourth."""
+    path, order = scratch(spark) + "/ordered", ("name", "product_id", "price_max")
+    paging.write_ordered(listings(spark, folder, *order), path, order, rows=500)
+    fourth = paging.page_number(spark, path, 4)
+    last = fourth.collect()[-1]
+    fifth = paging.page_after(spark, path, [last[c] for c in order])
+    return fourth.unionByName(fifth).select("product_id", "name", "price_max")
+
+
 @query("event_day_volume", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1")
 def event_day_volume(spark, folder):
     """Events per day by a stream over event time that takes them in by files of eight days, restarted half way."""

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from mandiscope.plans.page_listings import detail_records, page_listings
 from mandiscope.plans.refine import record_step
 from mandiscope.schema import LISTING_SCHEMA, PRODUCT_SCHEMA
-from mandiscope.sources import buckets, listings, pages, warehouse
+from mandiscope.sources import buckets, listings, pages, paging, warehouse
 from mandiscope.streaming.ingest import ingest
 from mandiscope.streaming.volume import read_daily_volume, stream_daily_volume
 
@@ -276,3 +276,20 @@ def test_daily_volume_of_a_stream(spark, tmp_path):
     for done in (tmp_path / "progress/commits").glob(f"*{last}*"):
         done.unlink()
     assert land("2024-01-09 13:00:00")["2024-01-09"] == 2
+
+
+def test_pages_by_number_and_by_key(spark, tmp_path):
+    path = str(tmp_path / "ordered")
+    data = [(None if k % 17 == 0 else f"n{k * 7 % 40:02d}", k) for k in range(310)]
+    paging.write_ordered(spark.createDataFrame(data, "name string, id long"), path, ("name", "id"), rows=60)
+    want = sorted(data, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    assert spark.read.parquet(f"{path}/ranges").count() > 3
+    got, after = [], None
+    while page := [tuple(r) for r in paging.page_after(spark, path, after, 45).collect()]:
+        assert page == [tuple(r) for r in paging.page_number(spark, path, len(got) // 45 + 1, 45).collect()]
+        got, after = got + page, page[-1]
+    assert got == want and paging.page_number(spark, path, 9, 45).count() == 0
+    plan = paging.page_number(spark, path, 3, 45)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [range" in plan.replace("isnotnull(range", "range") or "range#" in plan.split("PartitionFilters")[1][:80]
+    paging.write_ordered(spark.createDataFrame([], "name string, id long"), str(tmp_path / "none"), ("name", "id"))
+    assert paging.page_number(spark, str(tmp_path / "none")).count() == paging.page_after(spark, str(tmp_path / "none")).count() == 0
