@@ -42,7 +42,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the table `documents`, each written to the shared folder before the next reads it."""
+    """The stages over the table `documents`, each written to the shared folder before the next reads it.
+
+    Null, empty and blank texts are clean, have no lines to drop, share fingerprint zero, so one of them with an id stays,
+    and are packed as the end token alone. Rows without an id stay in every stage. A row that is repeated whole is scored and
+    cut like one, and one of its copies with an id stays. Long texts are read whole; columns besides `doc_id`
+    and `text` are carried to the last stage under any name. An empty table gives no rows.
+    """
     docs = load(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
