@@ -24,7 +24,8 @@ def components(links: DataFrame) -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        nearest = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        # Written first, so that the links of a hub can be split at the join.
+        nearest = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
         large = (
             both.join(nearest, "a")
             .where("b > a")

@@ -100,7 +100,9 @@ def _linked(docs: DataFrame, *more: Column) -> DataFrame:
     roots = components(links(first.select("fp")))
     rooted = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
+    # Written first, so that no aggregate stands between the rows' exchange and their join: a hot value can be split.
+    told = written(rooted.join(least, "root").select("fp", "root", "component_id"))
+    return prints.join(told, "fp")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """
     rows = written(_linked(docs, *document_key()).where("doc_id is not null").select("root", "doc_id", *KEY))
     at = F.struct("doc_id", *KEY)
-    first = rows.groupBy("root").agg(F.min(at).alias("first"))
+    first = written(rows.groupBy("root").agg(F.min(at).alias("first")))
     gone = rows.join(first, "root").where(at != F.col("first")).select(*KEY).distinct()
     again = written(rows.groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1").select(*KEY))
     left = keyed(docs).join(gone, KEY, "left_anti")
