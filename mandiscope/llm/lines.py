@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mandiscope.llm.common import KEY, document_key, field, keyed, whole_text
+from mandiscope.session import written
 
 WINDOW = 3
 
@@ -35,7 +36,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .drop("blank")
         .withColumn("at", F.struct("doc_id", *KEY, "line"))
     )
-    first = windows.groupBy("h", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Written first: only repeated windows are left, and the rows of a very common one can be split at the join.
+    first = written(windows.groupBy("h", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     later = windows.select("h", "h2", "at").join(first, ["h", "h2"]).where(~F.col("at").eqNullSafe(F.col("first")))
     lines = F.array_distinct(F.flatten(F.transform(F.collect_list("at.line"), lambda i: F.sequence(i, i + (WINDOW - 1)))))
     return later.groupBy(*[F.col(f"at.{k}").alias(k) for k in KEY]).agg(F.array_sort(lines).alias("covered"))
