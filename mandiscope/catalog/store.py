@@ -7,6 +7,7 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mandiscope.catalog.analysis import HEATMAP
 from mandiscope.catalog.cleaning import CLEAN_UNIT, RATED, UNITS, money_sql
@@ -20,9 +21,10 @@ from mandiscope.operators.relational import latest_by_key, upsert_rows
 from mandiscope.operators.validate import validate_products
 from mandiscope.plans.geography import state_heatmap
 from mandiscope.plans.refine import refine
+from mandiscope.schema import LISTING_SCHEMA
 from mandiscope.session import shared_folder, spread
 from mandiscope.sources.tables import LISTING_COLUMNS, listings, spread_listings, table
-from mandiscope.sources import buckets, paging
+from mandiscope.sources import arrays, buckets, paging
 from mandiscope.sources.warehouse import current_products, read_log, save_products
 from mandiscope.streaming.ingest import ingest
 from mandiscope.streaming.volume import read_daily_volume, stream_daily_volume
@@ -122,6 +124,15 @@ def page_snapshot(spark, folder):
     return fourth.unionByName(fifth).select("product_id", "name", "price_max")
 
 
+@query("array_files", with_listings(f"SELECT {', '.join(STORED)} FROM listings"))
+def array_files(spark, folder):
+    """Listings written as files of one JavaScript array each and read back by byte ranges."""
+    path = scratch(spark) + "/arrays"
+    arrays.write_arrays(listings(spark, folder, *STORED), path, "PRODUCTS")
+    fields = [f for f in LISTING_SCHEMA.fields if f.name in STORED]
+    return arrays.read_array(spark, path, T.StructType(fields)).select(*STORED)
+
+
 @query("event_day_volume", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1")
 def event_day_volume(spark, folder):
     """Events per day by a stream over event time that takes them in by files of eight days, restarted half way."""

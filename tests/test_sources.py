@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from mandiscope.plans.page_listings import detail_records, page_listings
 from mandiscope.plans.refine import record_step
 from mandiscope.schema import LISTING_SCHEMA, PRODUCT_SCHEMA
-from mandiscope.sources import buckets, listings, pages, paging, warehouse
+from mandiscope.sources import arrays, buckets, listings, pages, paging, warehouse
 from mandiscope.streaming.ingest import ingest
 from mandiscope.streaming.volume import read_daily_volume, stream_daily_volume
 
@@ -293,3 +293,66 @@ def test_pages_by_number_and_by_key(spark, tmp_path):
     assert "PartitionFilters: [range" in plan.replace("isnotnull(range", "range") or "range#" in plan.split("PartitionFilters")[1][:80]
     paging.write_ordered(spark.createDataFrame([], "name string, id long"), str(tmp_path / "none"), ("name", "id"))
     assert paging.page_number(spark, str(tmp_path / "none")).count() == paging.page_after(spark, str(tmp_path / "none")).count() == 0
+
+
+ODD_NAMES = ['a}b', '{"', 'back\\', '\\"}', '],[{', '"products": [{', "é}\n}", "", "x" * 700, "}" * 60]
+
+
+@pytest.fixture(params=[211, 1_000, 1 << 27])
+def ranges(spark, request):
+    """Ranges of as many bytes, so that few, some or all records cross them."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    for name, value in zip(names, (request.param, 1)):
+        spark.conf.set(name, str(value))
+    yield request.param
+    for name in names:
+        spark.conf.unset(name)
+
+
+def written_arrays(folder):
+    """The same records as an array, a constant and a wrapper with other keys around them."""
+    records = [product(product_id=f"TI-{i}", name=ODD_NAMES[i % len(ODD_NAMES)], moq=i) for i in range(30)]
+    other = {"stats": {"x}": {"products": [{"product_id": "no"}]}}, "more": [{"product_id": "no", "name": "}"}] * 9}
+    data = other | {"products": records} | {"later": [{"product_id": "no"}] * 5, "text": "}"}
+    (folder / "a.json").write_text(json.dumps(records, indent=1), encoding="utf-8")
+    (folder / "b.js").write_text(f"const PRODUCTS = {json.dumps(records)};\n", encoding="utf-8")
+    (folder / "c.js").write_text(f"const DATA = {json.dumps(data, ensure_ascii=False)}", encoding="utf-8")
+    (folder / "d.js").write_text(f"const DATA = {json.dumps(data, indent=2)};", encoding="utf-8")
+    return records
+
+
+def test_arrays_by_ranges(spark, tmp_path, ranges):
+    records = written_arrays(tmp_path)
+    want = sorted((r["product_id"], r["name"], r["moq"]) for r in records)
+    for name in ("a.json", "b.js", "c.js", "d.js"):
+        for broadcast in (100_000, 0):
+            got = arrays.read_array(spark, str(tmp_path / name), broadcast_ranges=broadcast)
+            assert sorted((r.product_id, r.name, r.moq) for r in got.collect()) == want, (name, broadcast)
+    whole = listings.read_listings_json(spark, str(tmp_path / "a.json")).orderBy("moq").collect()
+    assert arrays.read_array(spark, str(tmp_path / "a.json")).orderBy("moq").collect() == whole
+    assert arrays.read_array(spark, str(tmp_path / "*.js")).count() == 90
+    if ranges < 2_000:
+        assert arrays._pieces(spark, str(tmp_path / "b.js")).select("start").distinct().count() > 5
+
+
+def test_odd_arrays(spark, tmp_path, ranges):
+    def ids(text):
+        (tmp_path / "odd.json").write_text(text, encoding="utf-8")
+        return [r.product_id for r in arrays.read_array(spark, str(tmp_path / "odd.json")).orderBy("product_id").collect()]
+
+    assert [ids(t) for t in ("", "[]", " [ ] \n", "const PRODUCTS = [];", '{"products": []}', '{"other": [{"product_id": "1"}]}')] == [[]] * 6
+    nested = json.dumps([1, None, "}", [{"product_id": "no"}] * 20, {"product_id": "2"}, [[{"a": "]"}] * 20], {"product_id": "3"}])
+    assert ids(nested) == ["2", "3"]
+    assert ids('[{"product_id": "1"}, {"product_id": 5 5}]') == [None, "1"]
+    for cut in ('[{"product_id": "1"}, {"product_id": "2"', '[{"product_id": "1"}', '[{"product_id": "1'):
+        with pytest.raises(Exception, match="ends inside of its array"):
+            ids(cut)
+
+
+def test_write_arrays(spark, tmp_path):
+    data = frame(spark, product(name='q"}'), product(product_id="TI-2")).coalesce(1)
+    arrays.write_arrays(data, str(tmp_path / "out"))
+    text = next((tmp_path / "out").glob("part-*")).read_text()
+    assert [r["name"] for r in json.loads(text)] == ['q"}', "Pump"]
+    arrays.write_arrays(data.where("moq > 5"), str(tmp_path / "none"), "PRODUCTS")
+    assert arrays.read_array(spark, str(tmp_path / "none")).count() == 0
