@@ -356,3 +356,19 @@ def test_write_arrays(spark, tmp_path):
     assert [r["name"] for r in json.loads(text)] == ['q"}', "Pump"]
     arrays.write_arrays(data.where("moq > 5"), str(tmp_path / "none"), "PRODUCTS")
     assert arrays.read_array(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_arrays_cut_elsewhere(spark, tmp_path):
+    written_arrays(tmp_path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    try:
+        for before, after in (("1000", "500"), ("1000", "2000")):
+            spark.conf.set(names[1], "1")
+            spark.conf.set(names[0], before)
+            late = arrays.read_array(spark, str(tmp_path / "b.js"))
+            spark.conf.set(names[0], after)
+            with pytest.raises(Exception, match="changed between two scans"):
+                late.collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
