@@ -295,9 +295,24 @@ def price_elasticity(spark, folder):
     return rounded(out, 6, "elasticity", "r_squared")
 
 
-@query("price_elasticity_significance")
+# The two-sided p-value of a slope is the tail beyond asin(sqrt(r2)) of the density cos(x)^(n - 3), here by Simpson's rule.
+STEPS = 4000
+TAIL = f"""1 - 2 * sum(CASE WHEN i IN (0, {STEPS}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(cos(asin(sqrt(r2)) * i / {STEPS}), n - 3))
+  * asin(sqrt(r2)) / {STEPS} / 3 / exp(lgamma(0.5) + lgamma((n - 2) / 2.0) - lgamma((n - 1) / 2.0))"""
+
+
+@query(
+    "price_elasticity_significance",
+    with_listings(
+        f"""SELECT category, {r('slope')} AS elasticity, {r('r2')} AS r_squared, n AS sample_size, slope < 0 AS expected_sign,
+        {r(f"greatest({TAIL}, 0.0)")} AS p_value FROM fits, range({STEPS + 1}) AS steps(i) GROUP BY category, slope, r2, n""",
+        f"""fits AS (SELECT category, regr_slope(ln(moq), ln(p)) AS slope, regr_r2(ln(moq), ln(p)) AS r2, count(*) AS n
+        FROM (SELECT category, moq, {AVG} AS p FROM listings WHERE moq > 0) WHERE p > 0 GROUP BY category HAVING count(*) > 10)""",
+    ),
+)
 def price_elasticity_significance(spark, folder):
-    return pricing.price_elasticity(listings(spark, folder, *pricing.COMPLETE))
+    out = pricing.price_elasticity(listings(spark, folder, *pricing.COMPLETE))
+    return rounded(out, 6, "elasticity", "r_squared", "p_value")
 
 
 @query(

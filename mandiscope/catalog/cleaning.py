@@ -278,13 +278,13 @@ def tokens(spark, folder):
     return out.select("doc_id", F.size("tokens").cast("bigint").alias("n"), joined.alias("tokens"))
 
 
-@query(
-    "vocab_filter",
-    f"""WITH d AS (SELECT {TOKENS.format('text')} AS t FROM documents), k AS (SELECT t FROM d WHERE len(t) > 0),
+VOCABULARY = f"""WITH d AS (SELECT {TOKENS.format('text')} AS t FROM documents), k AS (SELECT t FROM d WHERE len(t) > 0),
     c AS (SELECT token, count(*) AS doc_count FROM (SELECT unnest(list_distinct(t)) AS token FROM k) GROUP BY token)
     SELECT token, doc_count FROM c WHERE doc_count >= 2 AND doc_count <= floor((SELECT count(*) FROM k) * 0.5)
-    """,
-)
+    """
+
+
+@query("vocab_filter", VOCABULARY)
 def vocabulary(spark, folder):
     return enrich.vocab_filter(enrich.tokenize_docs(table(spark, folder, "documents").select("text"), "text"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mandiscope.catalog.analysis import HEATMAP
-from mandiscope.catalog.cleaning import CLEAN_UNIT, RATED, UNITS, money_sql
+from mandiscope.catalog.cleaning import CLEAN_UNIT, RATED, TOKENS, UNITS, VOCABULARY, money_sql
 from mandiscope.catalog.registry import query, r, rounded, with_listings
 from mandiscope.functions.scalars import with_row
 from mandiscope.ml import anomaly, cluster, price_model, topics
@@ -246,6 +246,25 @@ def kmeans_elbow(spark, folder):
     return cluster.elbow(listings(spark, folder, *PROFILE))
 
 
+MEANS = f"""{r('avg(supplier_rating)')} AS mean_supplier_rating, {r('avg(response_rate)')} AS mean_response_rate, {r('avg(moq)')} AS mean_moq,
+  {r('avg((price_min + price_max) / 2)', 4)} AS mean_avg_price"""
+
+
+@query("cluster_totals", with_listings(f"SELECT count(*) AS n, CAST(4 AS BIGINT) AS clusters, {MEANS} FROM listings"))
+def cluster_totals(spark, folder):
+    """The profiles put together again: rows, clusters and the means of all rows."""
+    found = cluster.cluster_profiles(cluster.supplier_clusters(listings(spark, folder, *PROFILE)))
+    means = (F.try_divide(F.sum(F.col(f"mean_{f}") * F.col("n")), F.sum("n")).alias(f"mean_{f}") for f in cluster.FEATURES)
+    out = found.agg(F.count("*").alias("clusters"), *means, F.sum("n").alias("n"))
+    return rounded(rounded(out, 6, "mean_supplier_rating", "mean_response_rate", "mean_moq"), 4, "mean_avg_price")
+
+
+@query("cluster_nearest", with_listings("SELECT product_id, TRUE AS settled FROM listings"))
+def cluster_nearest(spark, folder):
+    """Every listing with whether the mean of its own cluster is the nearest one."""
+    return cluster.settled(cluster.supplier_clusters(listings(spark, folder, *PROFILE))).select("product_id", "settled")
+
+
 # Models that several queries report on are fitted once per application and state of the files they were fitted on.
 _FITTED: dict[tuple, object] = {}
 
@@ -304,6 +323,20 @@ def feature_importance(spark, folder):
     return price_model.feature_importance(_price_model(spark, folder))
 
 
+IMPORTANCE = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(DISTINCT {c}) > 1 AS used, 1.0 AS total FROM listings WHERE NOT {TEST_ROW}"
+    for c in [*price_model.NUMBER_FEATURES, *price_model.TEXT_FEATURES]
+)
+
+
+@query("importance_use", with_listings(IMPORTANCE))
+def importance_use(spark, folder):
+    """Which features the price forest splits on, those that vary in its training rows, and the sum of all importances."""
+    found = price_model.feature_importance(_price_model(spark, folder))
+    total = found.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return with_row(found.select("feature", (F.col("importance") > 0).alias("used")), total)
+
+
 GAPS = """gaps AS (SELECT product_id, CASE WHEN moq % 7 = 0 THEN NULL ELSE supplier_rating END AS supplier_rating,
   CASE WHEN moq % 5 = 1 THEN NULL ELSE response_rate END AS response_rate, CASE WHEN moq < 4 THEN NULL ELSE moq END AS moq,
   price_min, CASE WHEN moq % 9 = 2 THEN NULL ELSE price_max END AS price_max, CASE WHEN moq % 3 = 0 THEN NULL ELSE category END AS category FROM listings)"""
@@ -337,6 +370,25 @@ def price_anomalies(spark, folder):
     return anomaly.price_anomalies(listings(spark, folder, "product_id", "price_min", "price_max", "moq"))
 
 
+@query("anomaly_threshold", with_listings("SELECT count(*) AS n, TRUE AS separated, TRUE AS share_met FROM listings"))
+def anomaly_threshold(spark, folder):
+    """Whether the flagged listings are the tenth of lowest scores."""
+    return anomaly.threshold_check(anomaly.price_anomalies(listings(spark, folder, "product_id", "price_min", "price_max", "moq")))
+
+
+@query("topic_documents", f"SELECT doc_id, TRUE AS known FROM documents WHERE len({TOKENS.format('text')}) > 0")
+def topic_documents(spark, folder):
+    """Every document with a token has one of the topics."""
+    known = F.col("topic").between(0, topics.TOPICS - 1).alias("known")
+    return topics.dominant_topics(_topics(spark, folder)).select("doc_id", known)
+
+
+@query("topic_vocabulary", VOCABULARY.replace("SELECT token, doc_count FROM", "SELECT token FROM"))
+def topic_vocabulary(spark, folder):
+    """The words the topics are made of: those within the document bounds."""
+    return spark.createDataFrame([(w,) for w in _topics(spark, folder).vocabulary], "token string")
+
+
 @query("topic_terms")
 def topic_terms(spark, folder):
     return topics.topic_terms(_topics(spark, folder))

@@ -142,3 +142,23 @@ def anomaly_summary(scored: DataFrame) -> DataFrame:
         F.count_if("is_anomaly").alias("anomalies"),
         (F.count_if("is_anomaly") / F.count("*") * 100).alias("anomaly_pct"),
     )
+
+
+def threshold_check(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
+    """One row: ``n``, whether all flagged rows score below all others, and whether they are the asked share.
+
+    Rows that tie at the threshold are not flagged, so with ties the flagged are fewer; with the ties they are no fewer.
+    """
+    low = scored.agg(
+        F.count("*").alias("n"),
+        F.count_if("is_anomaly").alias("flagged"),
+        F.max(F.when(F.col("is_anomaly"), F.col("anomaly_score"))).alias("low"),
+        F.min(F.when(~F.col("is_anomaly"), F.col("anomaly_score"))).alias("high"),
+    )
+    ties = with_row(scored.select("anomaly_score"), low.select("high")).agg(F.count_if(F.col("anomaly_score") == F.col("high")).alias("ties"))
+    place = (F.col("n") - 1) * F.lit(contamination)
+    return with_row(low, ties).select(
+        "n",
+        (F.col("low") < F.col("high")).alias("separated"),
+        ((F.col("flagged") <= F.ceil(place)) & (F.col("flagged") + F.col("ties") > F.floor(place))).alias("share_met"),
+    )

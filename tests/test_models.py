@@ -25,6 +25,27 @@ def test_clusters(products):
     assert cluster.supplier_clusters(products.limit(5)) is None
 
 
+def test_settled(spark):
+    rows = [(float(i % 2 * 10 + i % 3), 1.0, i % 2 if i else 1) for i in range(12)]
+    df = spark.createDataFrame(rows, "x double, y double, supplier_cluster int")
+    found = cluster.settled(df, ["x", "y"]).collect()
+    # The first row lies among cluster 0 but is given to cluster 1; the second feature is constant.
+    assert [r.settled for r in found] == [False] + [True] * 11
+
+
+def test_threshold_check(spark):
+    def check(scores, flagged):
+        df = spark.createDataFrame([(float(s), f) for s, f in zip(scores, flagged)], "anomaly_score double, is_anomaly boolean")
+        return tuple(anomaly.threshold_check(df).first())
+
+    assert check(range(21), [i < 2 for i in range(21)]) == (21, True, True)
+    assert check(range(21), [i < 1 for i in range(21)]) == (21, True, False)
+    assert check(range(21), [i < 4 for i in range(21)]) == (21, True, False)
+    assert check(range(21), [i in (0, 5) for i in range(21)]) == (21, False, True)
+    # Three rows tie at the threshold, so only the one below is flagged.
+    assert check([0, 1, 1, 1, *range(2, 19)], [i < 1 for i in range(21)]) == (21, True, True)
+
+
 def test_number_of_clusters():
     assert cluster.choose_k(100) == 4 and cluster.choose_k(12) == 4 and cluster.choose_k(11) == 4
     assert list(cluster.candidate_ks(12)) == [2, 3, 4, 5]
