@@ -9,7 +9,7 @@ from mandiscope.catalog.registry import query, r, rounded, with_listings
 from mandiscope.operators import extract
 from mandiscope.plans.page_listings import page_listings
 from mandiscope.sources.listings import decode_lists, encode_lists, union_sources
-from mandiscope.sources.pages import Selector, extract_cards, extract_detail
+from mandiscope.sources.pages import Selector, extract_cards, extract_detail, extract_with
 from mandiscope.sources.tables import listings, table
 
 
@@ -407,3 +407,30 @@ def unioned(spark, folder):
         F.concat(F.lit("T-"), "p_partkey").alias("product_id"), F.col("p_name").alias("name"), F.lit("parts").alias("source")
     )
     return rounded(union_sources(lines, None, events, parts), 4, "price_max")
+
+
+@query(
+    "extract_with",
+    r"""SELECT CASE WHEN bad THEN NULL ELSE url END AS url, CASE WHEN bad THEN NULL ELSE regexp_extract(html, '<title>([^<]*)</title>', 1) END AS title,
+    CASE WHEN bad THEN 'no advertising wanted' END AS error FROM (SELECT *, contains(html, 'class="ad"') AS bad FROM pages)""",
+)
+def extracted_with(spark, folder):
+    """A caller's extractor over whole pages; what it raises is kept as the error of the page."""
+
+    def extractor(html: str, url: str) -> dict:
+        if 'class="ad"' in html:
+            raise ValueError("no advertising wanted")
+        return {"url": url, "title": html.split("<title>")[1].split("</title>")[0]}
+
+    return extract_with(table(spark, folder, "pages"), extractor, T.StructType().add("url", "string").add("title", "string"))
+
+
+@query(
+    "keep_original",
+    with_listings("SELECT product_id, CASE WHEN moq % 2 = 0 THEN upper(name) ELSE name END AS name, moq FROM listings"),
+)
+def kept_original(spark, folder):
+    """Extracted names fall back to those of the raw record where extraction gave none."""
+    raw = listings(spark, folder, "product_id", "name", "moq")
+    extracted = raw.withColumn("raw_name", F.col("name")).withColumn("name", F.when(F.col("moq") % 2 == 0, F.upper("name")))
+    return extract.keep_original(extracted, ["name"])

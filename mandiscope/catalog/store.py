@@ -20,12 +20,13 @@ from mandiscope.operators.normalize import normalize_product
 from mandiscope.operators.relational import latest_by_key, upsert_rows
 from mandiscope.operators.validate import validate_products
 from mandiscope.plans.geography import state_heatmap
-from mandiscope.plans.refine import refine
+from mandiscope.plans.refine import apply_steps, record_step, refine
 from mandiscope.schema import LISTING_SCHEMA
 from mandiscope.session import shared_folder, spread
 from mandiscope.sources.tables import LISTING_COLUMNS, listings, spread_listings, table
 from mandiscope.sources import arrays, buckets, paging
-from mandiscope.sources.warehouse import current_products, read_log, save_products
+from mandiscope.sources.listings import read_json_lines, read_listings_js, read_listings_json, union_sources, write_listings_json
+from mandiscope.sources.warehouse import create_warehouse, current_products, read_log, save_products, write_snapshot
 from mandiscope.streaming.ingest import ingest
 from mandiscope.streaming.volume import read_daily_volume, stream_daily_volume
 
@@ -133,6 +134,56 @@ def array_files(spark, folder):
     return arrays.read_array(spark, path, T.StructType(fields)).select(*STORED)
 
 
+@query(
+    "listing_files",
+    with_listings(" UNION ALL ".join(f"SELECT '{kind}' AS kind, {', '.join(STORED)} FROM listings" for kind in ("lines", "array", "constant"))),
+)
+def listing_files(spark, folder):
+    """Listings written as records by line, as JSON arrays and as JavaScript constants, each read back by its reader."""
+    root, data = scratch(spark), listings(spark, folder, *STORED)
+    schema = T.StructType([f for f in LISTING_SCHEMA.fields if f.name in STORED])
+    write_listings_json(data, f"{root}/lines")
+    arrays.write_arrays(data, f"{root}/array")
+    arrays.write_arrays(data, f"{root}/constant", "PRODUCTS")
+    found = {
+        "lines": read_json_lines(spark, f"{root}/lines", schema),
+        "array": read_listings_json(spark, f"{root}/array", schema),
+        "constant": read_listings_js(spark, f"{root}/constant", schema),
+    }
+    return union_sources(*(df.select(F.lit(kind).alias("kind"), *STORED) for kind, df in found.items()))
+
+
+@query("warehouse_snapshot", SAVED)
+def warehouse_snapshot(spark, folder):
+    """The log as a registered table, its current state as a snapshot divided by category, read back."""
+    root, name = scratch(spark), f"products_{uuid.uuid4().hex}"
+    save_products(_prepare(spread_listings(spark, folder)), f"{root}/products", batch=1)
+    create_warehouse(spark, name, f"{root}/products")
+    try:
+        spark.catalog.recoverPartitions(name)
+        current = latest_by_key(spark.table(name), "product_id", ["batch", "scraped_at"]).drop("batch")
+        write_snapshot(current, f"{root}/snapshot", by_category=True)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    kept = spark.read.schema(current.schema).parquet(f"{root}/snapshot")
+    return rounded(kept.select(*OUT), 2, "price_min", "price_max")
+
+
+@query(
+    "record_step",
+    with_listings("SELECT product_id, upper(substr(name, 1, 3)) || '-' || moq AS code, CASE WHEN moq % 2 = 0 THEN moq * 2 END AS pairs FROM listings"),
+)
+def record_steps(spark, folder):
+    """A caller's function on single records as a step of the chain; fields that it leaves out are null."""
+
+    def coded(record: dict) -> dict:
+        out = {"product_id": record["product_id"], "code": f"{record['name'][:3].upper()}-{record['moq']}"}
+        return out | ({"pairs": record["moq"] * 2} if record["moq"] % 2 == 0 else {})
+
+    schema = T.StructType().add("product_id", "string").add("code", "string").add("pairs", T.IntegerType())
+    return apply_steps(spread_listings(spark, folder, "product_id", "name", "moq"), [record_step(coded, schema)])
+
+
 @query("event_day_volume", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE ts IS NOT NULL GROUP BY 1")
 def event_day_volume(spark, folder):
     """Events per day by a stream over event time that takes them in by files of eight days, restarted half way."""
