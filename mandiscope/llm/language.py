@@ -6,15 +6,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mandiscope.llm.common import held_out, sample_ids, whole_text
+from mandiscope.llm.common import bounded, held_out, whole_text
+from mandiscope.session import written
 
 #: N-grams of a profile, and of a text, that are ranked.
 RANKED = 400
 #: Documents of each language that its profile is learnt from, at most.
 FIT_ROWS = 3_000
+#: Stands for a blank: no code point, and not zero, so that n-grams of different length are different numbers.
+BLANK = (1 << 21) - 1
 
 _LETTERS: list[np.ndarray] = []
 
@@ -29,20 +32,18 @@ def _letters() -> np.ndarray:
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """N-grams of one to three letters of the whole text with their counts; words are padded with one blank.
 
-    An n-gram is a number: ten bits of each code point below its length. Any other character ends a word.
+    An n-gram is a number: 21 bits for each code point, with ``BLANK`` for a blank. Any other character ends a word.
     """
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _letters()[codes]
     if not letter.any():
-        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    c = np.where(letter, codes % np.uint32(1023) + np.uint32(1), np.uint32(0))
-    c = np.concatenate((np.zeros(1, np.uint32), c, np.zeros(1, np.uint32)))
-    c = c[np.concatenate(([True], (c[1:] != 0) | (c[:-1] != 0)))]
-    two = c[:-1] << np.uint32(10) | c[1:]
-    three = two[:-1] << np.uint32(10) | c[2:]
-    middle = (three >> np.uint32(10)) % np.uint32(1024) != 0
-    size = np.uint32(1 << 30)
-    every = np.sort(np.concatenate((c[c != 0], two + size, three[middle] + (size << np.uint32(1)))))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    c = np.where(letter, codes.astype(np.int64), BLANK)
+    c = np.concatenate(([BLANK], c, [BLANK]))
+    c = c[np.concatenate(([True], (c[1:] != BLANK) | (c[:-1] != BLANK)))]
+    two = c[:-1] << 21 | c[1:]
+    three = two[:-1] << 21 | c[2:]
+    every = np.sort(np.concatenate((c[c != BLANK], two, three[c[1:-1] != BLANK])))
     edge = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
     return every[edge], np.diff(np.append(edge, len(every)))
 
@@ -55,17 +56,12 @@ def top(found: np.ndarray, counts: np.ndarray, ranked: int = RANKED) -> np.ndarr
 def profiles(docs: DataFrame, rows: int = FIT_ROWS) -> dict[str, np.ndarray]:
     """The ranked n-grams of each language, from documents that are not held out, ``rows`` per language at most.
 
-    The n-grams are counted in Spark and only the ranked ones reach the driver. Nulls in ``lang`` are not learnt from.
+    The n-grams of all languages are counted at once in Spark and only the ranked ones reach the driver. Nulls in ``lang``
+    are not learnt from.
     """
     known = docs.where(~held_out() & F.col("lang").isNotNull())
-    names = [r[0] for r in known.select("lang").distinct().collect()]
-    if not names:
-        return {}
-    ids = None
-    for name in names:
-        own = sample_ids(known.where(F.col("lang") == name), rows).withColumn("lang", F.lit(name))
-        ids = own if ids is None else ids.union(own)
-    sample = known.select("doc_id", "lang", whole_text().alias("text")).join(F.broadcast(ids), ["doc_id", "lang"])
+    ids = _sample(known, rows)
+    sample = known.select("doc_id", "lang", whole_text().alias("text")).join(bounded(ids), ["doc_id", "lang"])
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -73,14 +69,30 @@ def profiles(docs: DataFrame, rows: int = FIT_ROWS) -> dict[str, np.ndarray]:
                 pairs = [grams(t) for t in group["text"]]
                 every, at = np.unique(np.concatenate([p[0] for p in pairs]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([p[1] for p in pairs]), len(every)).astype(np.int64)
-                yield pd.DataFrame({"lang": name, "gram": every.astype(np.int64), "n": n})
+                yield pd.DataFrame({"lang": name, "gram": every, "n": n})
 
     counts = sample.select("lang", "text").mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    learnt = {}
-    for name in names:
-        best = counts.where(F.col("lang") == name).orderBy(F.desc("n"), "gram").limit(RANKED).toPandas()
-        learnt[name] = best["gram"].to_numpy().astype(np.uint32)
-    return learnt
+    # Every task keeps no more than the ranked n-grams of a language before they meet.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    best = counts.select("lang", "gram", place.alias("place")).where(F.col("place") <= RANKED).toPandas()
+    return {name: own.sort_values("place")["gram"].to_numpy() for name, own in best.groupby("lang")}
+
+
+def _sample(known: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` distinct ids of each language, those of least hash; all languages in the same scan.
+
+    A threshold from their number thins the ids of a language before they are ordered, so that no task gathers
+    more than a small multiple of ``rows``.
+    """
+    ids = known.select("lang", "doc_id").where("doc_id is not null").distinct()
+    ids = written(ids.withColumn("at", F.xxhash64(F.lit("sample"), "doc_id")))
+    counts = ids.groupBy("lang").agg(F.count("*").alias("own"))
+    share = F.least(F.lit(1.0), F.lit(1.2 * (rows + 1000)) / F.col("own"))
+    bound = F.when(F.col("own") > 2 * rows, (F.lit(-(2.0**63)) + share * (2.0**64 * 0.999999)).cast("long"))
+    bounds = written(counts.select("lang", F.coalesce(bound, F.lit((1 << 63) - 1)).alias("bound")))
+    thinned = ids.join(bounds, "lang").where(F.col("at") <= F.col("bound"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("at", "doc_id"))
+    return written(thinned.select("lang", "doc_id", place.alias("place")).where(F.col("place") <= rows).drop("place"))
 
 
 def language(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
@@ -94,7 +106,7 @@ def language(docs: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
     """
     learnt = profiles(docs, rows)
     names = sorted(learnt)
-    known = np.unique(np.concatenate([*learnt.values(), np.zeros(0, np.uint32)]))
+    known = np.unique(np.concatenate([*learnt.values(), np.zeros(0, np.int64)]))
     places = np.full((len(names), len(known)), -1, np.int64)
     for k, name in enumerate(names):
         places[k, np.searchsorted(known, learnt[name])] = np.arange(len(learnt[name]))

@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from mandiscope.llm import common, components, decontamination, fingerprints, language, lines, packing, pii, secrets, simhash, substrings, toxicity
 
@@ -387,6 +388,53 @@ def test_long_texts_are_read_in_chunks(monkeypatch):
     assert len(cut.first) >= len(whole.first)
 
 
+def plain_grams(text):
+    """N-grams of one to three letters, most frequent first; ties by length and code points, a blank after all letters."""
+    found = Counter()
+    for word in "".join(c if c.isalpha() else " " for c in text.lower()).split():
+        found.update(word)
+        for size in (2, 3):
+            padded = f" {word} "
+            found.update(padded[i : i + size] for i in range(len(padded) - size + 1))
+    order = {" ": language.BLANK}
+    return sorted(found, key=lambda g: (-found[g], len(g), [order.get(c, ord(c)) for c in g]))[: language.RANKED], found
+
+
+def test_language_equals_the_plain_rule(spark):
+    pieces = {"a": "the quick brown fox jumps over it", "b": "der schnelle braune Fuchs springt über", "c": "хитрая лиса прыгает через забор", "d": "Ѡ ѡѡѡ \u0460b a\u0100a"}
+    texts = []
+    for i in range(60):
+        lang = "abcd"[i % 4] if i % 7 else None
+        words = pieces["abcd"[i % 4]].split()
+        texts.append((i, " ".join(words[(i * j) % len(words)] for j in range(i % 9 + 1)) if i % 11 else "12 !", lang))
+    texts += [(100, "a", "a"), (101, None, "b"), (102, "", "c"), (103, "zz " * 500, None), (None, "the fox", "a"), (7, "Fuchs und Fuchs", "d")]
+    totals = {}
+    for i, text, lang in texts:
+        if i is not None and lang and zlib.crc32(str(i).encode()) % 5:
+            totals.setdefault(lang, Counter()).update(plain_grams(text or "")[1])
+    order = {" ": language.BLANK}
+    learnt = {}
+    for lang, found in totals.items():
+        ranked = sorted(found, key=lambda g: (-found[g], len(g), [order.get(c, ord(c)) for c in g]))[: language.RANKED]
+        learnt[lang] = {g: k for k, g in enumerate(ranked)}
+    want = []
+    for i, text, _ in texts:
+        own, name, score = plain_grams(text or "")[0], "und", 0.0
+        if own:
+            away = {lang: sum(abs(at[g] - k) if g in at else language.RANKED for k, g in enumerate(own)) for lang, at in learnt.items()}
+            name = min(sorted(away), key=away.get)
+            score = 1 - away[name] / (language.RANKED * len(own))
+        want.append((str(i), name, round(score, 9)))
+    got = rows(language.language(spark.createDataFrame(texts, "doc_id long, text string, lang string")))
+    assert sorted(want) == sorted((str(r["doc_id"]), r["lang_pred"], round(r["score"], 9)) for r in got)
+
+
+def test_language_sample(spark):
+    df = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 100 < 99, "a").otherwise("b").alias("lang"))
+    found = {r["lang"]: r["count"] for r in language._sample(df, 1000).groupBy("lang").count().collect()}
+    assert found == {"a": 1000, "b": 400}
+
+
 def test_language(spark, folder):
     docs = spark.read.parquet(f"{folder.replace('sf0.001', 'sf0.01')}/documents.parquet")
     scored = language.language(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
