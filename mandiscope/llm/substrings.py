@@ -22,6 +22,8 @@ GRAM = 24
 SPAN = LENGTH - GRAM + 1
 #: Text of a batch, and window starts handled at once; both bound the memory of a task.
 BATCH_BYTES = 4 << 20
+#: Text whose entries one part sorts.
+PART_BYTES = 128 << 20
 CHUNK = 1 << 18
 #: Order of documents without an id: after all others.
 LAST = np.iinfo(np.int64).max
@@ -92,14 +94,14 @@ def places(data: np.ndarray) -> Places:
     return Places(*map(np.concatenate, zip(*found)))
 
 
-def _strings(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the strings of the given runs with their identities.
+def _strings(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the strings of the given runs with their identities of 64 and 32 bits.
 
     A string is refined from its bucket by the buckets at later offsets: q-grams at 0 and ``GRAM`` make an identifier of
-    twice the length, which with the last q-gram covers the string.
+    twice the length, which with the last q-gram covers the string. The second identity puts them together otherwise.
     """
     starts = np.concatenate([np.zeros(0, np.int64), *map(np.arange, first, last + 1)]).astype(np.int64)
-    ids = np.zeros(len(starts), np.uint64)
+    ids, more = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
     for begin in range(0, max(0, len(data) - LENGTH + 1), CHUNK):
         inside = np.flatnonzero((starts >= begin) & (starts < begin + CHUNK))
         if len(inside):
@@ -107,30 +109,41 @@ def _strings(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.
             s = starts[inside] - begin
             double = _mix(grams[s] * np.uint64(3) + grams[s + GRAM])
             ids[inside] = _mix(double * np.uint64(5) + grams[s + LENGTH - GRAM])
-    return starts, ids
+            more[inside] = _mix(_mix(grams[s + LENGTH - GRAM] * np.uint64(7) + grams[s]) + grams[s + GRAM] * np.uint64(9)) >> np.uint64(32)
+    return starts, ids, more
 
 
 class Entries(NamedTuple):
-    """Sorted distinct (part, document, identities) of a batch, and for each original row its number among them."""
+    """Distinct (part, identities) of a batch with the document of least id that has them, by part and document.
+
+    For each original row ``number`` is its entry and ``later`` whether its document comes after that of the entry, so that
+    the row repeats it whatever other batches hold.
+    """
 
     part: np.ndarray
     doc: np.ndarray
     ids: tuple[np.ndarray, ...]
     number: np.ndarray
+    later: np.ndarray
 
 
-def _entries(doc: np.ndarray, spread: np.ndarray, ids: tuple[np.ndarray, ...], parts: int) -> Entries:
-    part = (spread >> np.uint64(40)).astype(np.int64) % parts
-    keys = (*reversed(ids), doc, part)
-    order = np.lexsort(keys)
+def _entries(doc: np.ndarray, id_of: np.ndarray, spread: np.ndarray, ids: tuple[np.ndarray, ...], parts: int) -> Entries:
+    part = (spread >> np.uint64(24)).astype(np.int64) % parts
+    own = id_of[doc]
+    keys = (*reversed(ids), part)
+    order = np.lexsort((doc, own, *keys))
     new = np.zeros(len(order), bool)
     new[:1] = True
     for k in keys:
         new[1:] |= k[order][1:] != k[order][:-1]
-    number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(new) - 1
-    kept = order[new]
-    return Entries(part[kept], doc[kept], tuple(i[kept] for i in ids), number)
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    least = order[new]
+    sent = np.lexsort((doc[least], part[least]))
+    place = np.empty(len(sent), np.int64)
+    place[sent] = np.arange(len(sent))
+    kept = least[sent]
+    return Entries(part[kept], doc[kept], tuple(i[kept] for i in ids), place[group], own > own[least][group])
 
 
 def _squeeze(data: bytes) -> bytes:
@@ -151,13 +164,16 @@ class Batch:
     def __init__(self, ids: bytes, sizes: bytes, body: bytes, parts: int):
         self.ids = _unpack(ids, "<i8")
         self.parts = parts
-        ends = np.cumsum(_unpack(sizes, "<i8"))
+        told = _unpack(sizes, "<i8")
+        # The size of a document without an id is told by its complement.
+        self.nameless = told < 0
+        ends = np.cumsum(np.where(self.nameless, ~told, told))
         data = _unpack(body, "u1")
         self.docs = [data[e - n : e] for e, n in zip(ends, np.diff(ends, prepend=0))]
         own = [places(d) for d in self.docs]
         self.runs = Places(*map(np.concatenate, zip(*own)))
         self.doc = np.repeat(np.arange(len(own)), [len(p.first) for p in own])
-        self.entries = _entries(self.doc, self.runs.bucket, (self.runs.bucket & np.uint64(0xFFFFFFFF), self.runs.text >> np.uint64(24)), parts)
+        self.entries = _entries(self.doc, self.ids, self.runs.bucket, (self.runs.bucket & np.uint64(0xFFFFFFFF), self.runs.text), parts)
 
     def told(self, entries: Entries, kinds: list[Callable[[np.ndarray], bytes]]) -> Iterator[tuple]:
         """(part, ids of documents, entries of each, packed identities) for each part with entries."""
@@ -173,48 +189,49 @@ class Batch:
         for part, answer in zip(parts, answers):
             begin, end = np.searchsorted(entries.part, [part, part + 1])
             states[begin:end] = _unpack(answer, "u1")
-        return states[entries.number]
+        return np.where(entries.later, 1, states[entries.number])
 
     def contested(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, Entries]:
         """Document, start and entry of each string of the runs in contested buckets."""
-        doc, start, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        doc, start, ids, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         for k in np.unique(self.doc[states == 2]):
             own = np.flatnonzero((self.doc == k) & (states == 2))
-            s, i = _strings(self.docs[k], self.runs.first[own], self.runs.last[own])
+            s, i, m = _strings(self.docs[k], self.runs.first[own], self.runs.last[own])
             doc.append(np.full(len(s), k))
             start.append(s)
             ids.append(i)
+            more.append(m)
         at, every = np.concatenate(doc), np.concatenate(ids)
-        return at, np.concatenate(start), _entries(at, every, (every,), self.parts)
+        return at, np.concatenate(start), _entries(at, self.ids, every, (every, np.concatenate(more)), self.parts)
 
 
-def _low5(x: np.ndarray) -> bytes:
-    """40 bits of each number."""
-    return np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def _raw(kind: str) -> Callable[[np.ndarray], bytes]:
+    return lambda x: np.ascontiguousarray(x, kind).tobytes()
 
 
 def _batches(docs: DataFrame) -> DataFrame:
     """Documents in compressed batches: ``batch`` (hash of the content), ``ids``, ``sizes``, ``body``."""
 
-    def pack(ids: list[int], texts: list[bytes]) -> pd.DataFrame:
-        blobs = [_pack(np.array(ids), "<i8"), _pack(np.array([len(t) for t in texts]), "<i8"), _squeeze(b"".join(texts))]
+    def pack(ids: list[int], sizes: list[int], texts: list[bytes]) -> pd.DataFrame:
+        blobs = [_pack(np.array(ids), "<i8"), _pack(np.array(sizes), "<i8"), _squeeze(b"".join(texts))]
         name = int.from_bytes(hashlib.blake2b(b"".join(blobs), digest_size=8).digest(), "little", signed=True)
         return pd.DataFrame([[name, *blobs]], columns=["batch", "ids", "sizes", "body"])
 
     def gather(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, texts, size = [], [], 0
+        ids, sizes, texts, size = [], [], [], 0
         for frame in frames:
-            for i, text in zip(frame["at"], frame["text"]):
+            for i, nameless, text in zip(frame["at"], frame["nameless"], frame["text"]):
                 ids.append(i)
                 texts.append(text.encode("utf-8", "surrogatepass"))
+                sizes.append(~len(texts[-1]) if nameless else len(texts[-1]))
                 size += len(texts[-1])
                 if size >= BATCH_BYTES:
-                    yield pack(ids, texts)
-                    ids, texts, size = [], [], 0
+                    yield pack(ids, sizes, texts)
+                    ids, sizes, texts, size = [], [], [], 0
         if ids:
-            yield pack(ids, texts)
+            yield pack(ids, sizes, texts)
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(int(LAST))).alias("at"), whole_text().alias("text"))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(int(LAST))).alias("at"), F.col("doc_id").isNull().alias("nameless"), whole_text().alias("text"))
     return rows.mapInPandas(gather, "batch long, ids binary, sizes binary, body binary")
 
 
@@ -235,10 +252,7 @@ def _refine_runs(group: pd.DataFrame) -> pd.DataFrame:
     run, and its bucket holds other runs of other documents, so their strings have to be compared."""
     owner, ends = _owners(group)
     bucket = np.concatenate([np.frombuffer(b, "<u4") for b in group["bucket"]])
-    raw = np.concatenate([np.frombuffer(b, np.uint8).reshape(-1, 5) for b in group["text"]])
-    text = np.zeros((len(raw), 8), np.uint8)
-    text[:, :5] = raw
-    text = text.view("<u8").ravel()
+    text = np.concatenate([np.frombuffer(b, "<u8") for b in group["text"]])
     order = np.lexsort((owner, text, bucket))
     b, t, o = bucket[order], text[order], owner[order]
     new_bucket = np.concatenate(([True], b[1:] != b[:-1]))
@@ -255,9 +269,10 @@ def _refine_strings(group: pd.DataFrame) -> pd.DataFrame:
     """Sort a part by string. 1: a smaller document has the same string."""
     owner, ends = _owners(group)
     string = np.concatenate([np.frombuffer(b, "<u8") for b in group["string"]])
-    order = np.lexsort((owner, string))
-    s, o = string[order], owner[order]
-    new = np.concatenate(([True], s[1:] != s[:-1]))
+    more = np.concatenate([np.frombuffer(b, "<u4") for b in group["more"]])
+    order = np.lexsort((owner, more, string))
+    s, m, o = string[order], more[order], owner[order]
+    new = np.concatenate(([True], (s[1:] != s[:-1]) | (m[1:] != m[:-1])))
     states = np.empty(len(o), np.uint8)
     states[order] = o > o[np.flatnonzero(new)][np.cumsum(new) - 1]
     return _answered(group, states, ends)
@@ -281,13 +296,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     occurs, so none is missed.
 
     Null and empty texts and texts under 50 bytes lose nothing. Rows of equal id are one document and never shorten each
-    other; rows without an id come after all others, as one document. An empty table gives no rows. Other columns are ignored.
+    other; rows without an id come after all others, as one document with those whose id is the largest there is. An empty
+    table gives no rows. Other columns are ignored.
+
+    Of each batch only the least document of every run or string is sent, as the batch's others repeat it. A part holds
+    what ``PART_BYTES`` of text send, so its memory does not grow with the table. Equality is by hashes: 96 bits for runs, of which
+    64 tell runs around the same q-gram apart, and 96 bits for strings.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     batches = written(_batches(docs))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-batches.count() * BATCH_BYTES // PART_BYTES))
 
     def runs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kinds = [lambda x: np.ascontiguousarray(x, "<u4").tobytes(), _low5]
+        kinds = [_raw("<u4"), _raw("<u8")]
         for frame in frames:
             for r in frame.itertuples():
                 batch = Batch(r.ids, r.sizes, r.body, parts)
@@ -309,10 +329,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for r in frame.itertuples():
                 batch = Batch(r.ids, r.sizes, r.body, parts)
                 _, _, entries = batch.contested(batch.answers(batch.entries, *listed(r.runs)))
-                rows = [(r.batch, *row) for row in batch.told(entries, [lambda x: np.ascontiguousarray(x, "<u8").tobytes()])]
-                yield pd.DataFrame(rows, columns=["batch", "part", "ids", "counts", "string"])
+                rows = [(r.batch, *row) for row in batch.told(entries, [_raw("<u8"), _raw("<u4")])]
+                yield pd.DataFrame(rows, columns=["batch", "part", "ids", "counts", "string", "more"])
 
-    told = batches.join(joined("runs", by_run), "batch").mapInPandas(strings, "batch long, part int, ids binary, counts binary, string binary")
+    told = batches.join(joined("runs", by_run), "batch").mapInPandas(strings, "batch long, part int, ids binary, counts binary, string binary, more binary")
     by_string = written(told.groupBy("part").applyInPandas(_refine_strings, answer))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -332,10 +352,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                     at = start[singles[k] : singles[k + 1]][repeated[singles[k] : singles[k + 1]]]
                     gone = _cover(len(data), [(batch.runs.first[own], batch.runs.last[own] + LENGTH), (at, at + LENGTH)])
                     spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
-                    i = int(batch.ids[k])
-                    rows.append((None if i == LAST else i, len(data), int(gone.sum()), spans, data[~gone].tobytes()))
+                    rows.append((None if batch.nameless[k] else int(batch.ids[k]), len(data), int(gone.sum()), spans, data[~gone].tobytes()))
                 out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
+                # Not from the column, which holds ids as floats where one of them is missing.
+                out["doc_id"] = pd.array([row[0] for row in rows], "Int64")
                 yield out
 
     every = batches.join(joined("runs", by_run), "batch", "left").join(joined("strings", by_string), "batch", "left")

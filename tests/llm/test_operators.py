@@ -376,6 +376,26 @@ def test_repeats_of_mixed_texts(spark, monkeypatch, seed):
     assert told_repeats(df) == plain_repeats(pairs)
 
 
+def test_repeats_of_large_missing_and_equal_ids(spark, monkeypatch):
+    body = "one passage of more than fifty bytes that stands in every text of this table"
+    big = 1152921504606859321
+    pairs = [(big + 1, body), (big, body + " a"), (None, "b " + body), (None, body * 2), (big, "c " + body), (substrings.LAST, body), (5, body[:49]), (6, body[9:])]
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    assert told_repeats(df.coalesce(1)) == plain_repeats(pairs)
+    assert told_repeats(df.repartition(3)) == plain_repeats(pairs)
+    # More parts than shuffle partitions.
+    monkeypatch.setattr(substrings, "PART_BYTES", 1 << 17)
+    assert told_repeats(df.coalesce(1)) == plain_repeats(pairs)
+
+
+def test_a_batch_sends_the_least_document_of_a_run():
+    ids = np.array([4, 2, 2, 9])
+    found = substrings._entries(np.array([0, 1, 2, 3, 0]), ids, np.array([1, 1, 1, 1, 1 << 40], np.uint64), (np.array([7, 7, 7, 7, 8], np.uint64),), 8)
+    assert sorted(zip(ids[found.doc], found.ids[0])) == [(2, 7), (4, 8)]
+    assert found.later.tolist() == [True, False, False, True, False]
+    assert found.ids[0][found.number].tolist() == [7, 7, 7, 7, 8]
+
+
 def test_long_texts_are_read_in_chunks(monkeypatch):
     random = np.random.default_rng(1)
     data = random.integers(97, 100, 1000).astype(np.uint8)
