@@ -128,10 +128,12 @@ class Entries(NamedTuple):
 
 
 def _entries(doc: np.ndarray, id_of: np.ndarray, spread: np.ndarray, ids: tuple[np.ndarray, ...], parts: int) -> Entries:
+    """Rows come by document and documents by id. The last identity has 64 bits, and equal ones are sorted together;
+    where others differ beside it, more entries than needed are sent."""
     part = (spread >> np.uint64(24)).astype(np.int64) % parts
     own = id_of[doc]
-    keys = (*reversed(ids), part)
-    order = np.lexsort((doc, own, *keys))
+    keys = (*ids, part)
+    order = np.argsort(ids[-1], kind="stable")
     new = np.zeros(len(order), bool)
     new[:1] = True
     for k in keys:
@@ -139,7 +141,7 @@ def _entries(doc: np.ndarray, id_of: np.ndarray, spread: np.ndarray, ids: tuple[
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     least = order[new]
-    sent = np.lexsort((doc[least], part[least]))
+    sent = np.argsort(part[least] * len(id_of) + doc[least], kind="stable")
     place = np.empty(len(sent), np.int64)
     place[sent] = np.arange(len(sent))
     kept = least[sent]
@@ -169,7 +171,10 @@ class Batch:
         self.nameless = told < 0
         ends = np.cumsum(np.where(self.nameless, ~told, told))
         data = _unpack(body, "u1")
-        self.docs = [data[e - n : e] for e, n in zip(ends, np.diff(ends, prepend=0))]
+        begins = ends - np.diff(ends, prepend=0)
+        order = np.argsort(self.ids, kind="stable")
+        self.ids, self.nameless = self.ids[order], self.nameless[order]
+        self.docs = [data[begins[k] : ends[k]] for k in order]
         own = [places(d) for d in self.docs]
         self.runs = Places(*map(np.concatenate, zip(*own)))
         self.doc = np.repeat(np.arange(len(own)), [len(p.first) for p in own])
@@ -194,15 +199,17 @@ class Batch:
     def contested(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray, Entries]:
         """Document, start and entry of each string of the runs in contested buckets."""
         doc, start, ids, more = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for k in np.unique(self.doc[states == 2]):
-            own = np.flatnonzero((self.doc == k) & (states == 2))
+        open_runs = np.flatnonzero(states == 2)
+        cuts = np.searchsorted(self.doc[open_runs], np.arange(len(self.docs) + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
+            own = open_runs[cuts[k] : cuts[k + 1]]
             s, i, m = _strings(self.docs[k], self.runs.first[own], self.runs.last[own])
             doc.append(np.full(len(s), k))
             start.append(s)
             ids.append(i)
             more.append(m)
         at, every = np.concatenate(doc), np.concatenate(ids)
-        return at, np.concatenate(start), _entries(at, self.ids, every, (every, np.concatenate(more)), self.parts)
+        return at, np.concatenate(start), _entries(at, self.ids, every, (np.concatenate(more), every), self.parts)
 
 
 def _raw(kind: str) -> Callable[[np.ndarray], bytes]:
@@ -329,10 +336,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for r in frame.itertuples():
                 batch = Batch(r.ids, r.sizes, r.body, parts)
                 _, _, entries = batch.contested(batch.answers(batch.entries, *listed(r.runs)))
-                rows = [(r.batch, *row) for row in batch.told(entries, [_raw("<u8"), _raw("<u4")])]
-                yield pd.DataFrame(rows, columns=["batch", "part", "ids", "counts", "string", "more"])
+                rows = [(r.batch, *row) for row in batch.told(entries, [_raw("<u4"), _raw("<u8")])]
+                yield pd.DataFrame(rows, columns=["batch", "part", "ids", "counts", "more", "string"])
 
-    told = batches.join(joined("runs", by_run), "batch").mapInPandas(strings, "batch long, part int, ids binary, counts binary, string binary, more binary")
+    told = batches.join(joined("runs", by_run), "batch").mapInPandas(strings, "batch long, part int, ids binary, counts binary, more binary, string binary")
     by_string = written(told.groupBy("part").applyInPandas(_refine_strings, answer))
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -389,11 +389,11 @@ def test_repeats_of_large_missing_and_equal_ids(spark, monkeypatch):
 
 
 def test_a_batch_sends_the_least_document_of_a_run():
-    ids = np.array([4, 2, 2, 9])
-    found = substrings._entries(np.array([0, 1, 2, 3, 0]), ids, np.array([1, 1, 1, 1, 1 << 40], np.uint64), (np.array([7, 7, 7, 7, 8], np.uint64),), 8)
+    ids = np.array([2, 2, 4, 9])
+    found = substrings._entries(np.array([0, 1, 2, 2, 3]), ids, np.array([1, 1, 1, 1 << 40, 1], np.uint64), (np.array([7, 7, 7, 8, 7], np.uint64),), 8)
     assert sorted(zip(ids[found.doc], found.ids[0])) == [(2, 7), (4, 8)]
-    assert found.later.tolist() == [True, False, False, True, False]
-    assert found.ids[0][found.number].tolist() == [7, 7, 7, 7, 8]
+    assert found.later.tolist() == [False, False, True, False, True]
+    assert found.ids[0][found.number].tolist() == [7, 7, 7, 8, 7]
 
 
 def test_long_texts_are_read_in_chunks(monkeypatch):
