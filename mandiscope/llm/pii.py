@@ -217,6 +217,10 @@ def personal_digest(docs: DataFrame) -> DataFrame:
     def told(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])), ",")
 
+    def number(kind: int):
+        # A second argument of the condition, even a default, would be the place in the array.
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     base = F.filter("spans", lambda s: s["kind"] < len(KINDS))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [number(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return personal_data(docs).select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))

@@ -159,6 +159,14 @@ def test_personal_data(docs):
         assert r["base_sha256"] in {hashlib.sha256(",".join(plain_pii(t)).encode()).hexdigest() for t in texts}
 
 
+def test_personal_data_counts_each_kind(spark):
+    texts = [MAIL + " " + MAIL, "a@b.c d@e.f g@h.i", "10.0.0.1 10.0.0.2", "+49 30 1234567", "", None]
+    found = pii.personal_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for r in found.collect():
+        kinds = Counter(s.split(":")[0] for s in plain_pii(texts[r.doc_id] or ""))
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [kinds[k] for k in pii.KINDS]
+
+
 def test_terms_that_reveal_an_entity(spark):
     told = [(k, f"file {k} says agent falcon is at secret.one@mail.example.com in town number{k}") for k in range(6)]
     other = [(100 + k, f"note {k} is in town and says more at length about number{k}") for k in range(200)]
