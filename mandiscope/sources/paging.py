@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 #: Rows of a range, about.
 RANGE = 50_000
+#: Ranges at most, each a folder; of larger tables every range holds more rows.
+RANGES = 1_000
 
 
 def write_ordered(df: DataFrame, path: str, order: Sequence[str], rows: int = RANGE) -> None:
-    """Write ``df`` as ranges by ``order``, null first. Rows that repeat a whole key stay in one range."""
+    """Write ``df`` as ranges by ``order``, null first, at most ``RANGES``. Rows that repeat a whole key stay in one range."""
     number = df.count()
-    ranges = max(1, -(-number // rows))
+    ranges = min(RANGES, max(1, -(-number // rows)))
     dealt = df.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id())
     # Without rows there is no folder, so one empty file keeps the schema.
     dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(*(["range"] if number else [])).parquet(f"{path}/rows")

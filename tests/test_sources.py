@@ -295,6 +295,15 @@ def test_pages_by_number_and_by_key(spark, tmp_path):
     assert paging.page_number(spark, str(tmp_path / "none")).count() == paging.page_after(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_ranges_are_no_more_than_their_bound(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(paging, "RANGES", 4)
+    path, data = str(tmp_path / "ordered"), [(f"n{k * 7 % 40:02d}", k) for k in range(310)]
+    paging.write_ordered(spark.createDataFrame(data, "name string, id long"), path, ("name", "id"), rows=5)
+    assert spark.read.parquet(f"{path}/ranges").count() <= 4
+    assert [tuple(r) for r in paging.page_number(spark, path, 5, 45).collect()] == sorted(data)[180:225]
+    assert [tuple(r) for r in paging.page_after(spark, path, sorted(data)[179], 45).collect()] == sorted(data)[180:225]
+
+
 ODD_NAMES = ['a}b', '{"', 'back\\', '\\"}', '],[{', '"products": [{', "é}\n}", "", "x" * 700, "}" * 60]
 
 
