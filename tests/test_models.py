@@ -146,6 +146,22 @@ def test_runs_that_share_passes_are_those_of_each_alone(spark, most):
     assert cluster.shared_runs(df.limit(0), asked) == {}
 
 
+def test_equal_rows_are_read_once_per_pass(spark, monkeypatch):
+    x = np.repeat(np.random.default_rng(3).normal(size=(40, 2)), np.arange(40) % 7 + 1, axis=0)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double").repartition(5)
+    held, first = {}, cluster._first_centres
+
+    def start(sample, k, run, counts):
+        held[k, run] = first(sample, k, run, counts)
+        assert len(sample) == 40 and counts.sum() == len(x)
+        return held[k, run]
+
+    monkeypatch.setattr(cluster, "_first_centres", start)
+    for run, found in cluster.shared_runs(df, [(2, 0), (5, 1)]).items():
+        centres, cost = plain_lloyd(x, held[run], 300)
+        assert found.centres == pytest.approx(centres) and found.cost == pytest.approx(cost)
+
+
 def plain_tree(x, y, depth):
     def build(rows, left):
         best = (1e-9, None, None)
@@ -197,6 +213,16 @@ def test_forest_takes_all_rows_whatever_the_partitions(spark, monkeypatch):
     assert np.mean([(want[k] - y) ** 2 for k, _, _, y in rows]) < 3
 
 
+def test_equal_features_are_predicted_once(spark, monkeypatch):
+    rows = [(f"r{k}", float(k % 5), None if k % 3 else -0.0, float(k)) for k in range(90)]
+    df = spark.createDataFrame(rows, "key string, a double, b double, y double")
+    forest, asked, means = trees.grow_forest(df.fillna(1.0), ["a", "b"], "y", "key", 4, 30, 42, share=40), [], trees._means
+    want = {r.key: r.predicted for r in means(df.fillna(1.0), forest, ["a", "b"], "predicted").collect()}
+    monkeypatch.setattr(trees, "_means", lambda unique, *rest: asked.append(unique.count()) or means(unique, *rest))
+    assert {r.key: r.predicted for r in trees.predict(df.fillna(1.0), forest, ["a", "b"]).collect()} == want
+    assert asked == [10]
+
+
 def test_fits_are_held_for_the_state_of_their_files(spark, tmp_path):
     path, fits = str(tmp_path / "t.parquet"), []
     fit = lambda data: fits.append(1) or data.count()
