@@ -304,6 +304,16 @@ def test_ranges_are_no_more_than_their_bound(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in paging.page_after(spark, path, sorted(data)[179], 45).collect()] == sorted(data)[180:225]
 
 
+def test_constants_are_split(spark, tmp_path):
+    (tmp_path / "a.js").write_text("const PRODUCTS = [" + ",".join(f'{{"product_id": "p{k}", "name": "n{k}"}}' for k in range(4000)) + "];")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = listings.read_listings_js(spark, str(tmp_path / "a.js"))
+        assert found.rdd.getNumPartitions() > 2 and found.distinct().count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 ODD_NAMES = ['a}b', '{"', 'back\\', '\\"}', '],[{', '"products": [{', "é}\n}", "", "x" * 700, "}" * 60]
 
 
