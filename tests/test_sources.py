@@ -391,3 +391,9 @@ def test_arrays_cut_elsewhere(spark, tmp_path):
     finally:
         for name in names:
             spark.conf.unset(name)
+
+
+def test_saved_batches_are_compressed_well(spark, tmp_path):
+    df = spark.createDataFrame([("a", "pump", 1.0)], "product_id string, name string, scraped_at double")
+    assert warehouse.save_products(df, str(tmp_path / "products"), 1)["accepted"] == 1
+    assert all(".zstd." in p.name for p in (tmp_path / "products/batch=1").glob("part-*"))
