@@ -1,3 +1,4 @@
+import collections
 import io
 import math
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mandiscope.catalog import store
 from mandiscope.ml import anomaly, cluster, features, price_model, topics, trees
+from mandiscope.operators.enrich import tokenize_docs, vocab_filter
 from mandiscope.sources.tables import listings, table
 
 
@@ -82,6 +84,54 @@ def test_topics(spark, folder):
     assert topics.fit_topics(docs.limit(4), "text") is None
 
 
+def test_topics_in_blocks_and_shards_follow_the_plain_passes(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text").where("doc_id < 60")
+    model = topics.fit_topics(docs, "text", passes=2, block=2000, shard=100)
+    assert model.blocks.count() > 3 and model.vocabulary.select("shard").distinct().count() > 3
+    tokenized = tokenize_docs(docs, "text")
+    words = {r.token: (r.shard, r.place) for r in model.vocabulary.collect()}
+    assert set(words) == {r.token for r in vocab_filter(tokenized).collect()}
+    order = {w: i for i, w in enumerate(sorted(words, key=words.get))}
+    sizes = collections.Counter(shard for shard, _ in words.values())
+    own = np.concatenate([np.random.default_rng([42, s]).gamma(100, 0.01, (sizes[s], 5)) for s in sorted(sizes)])
+    bags = {r.doc_id: collections.Counter(order[t] for t in r.tokens if t in order) for r in tokenized.collect()}
+
+    def logs(x):
+        return topics._digamma(x) - topics._digamma(x.sum())
+
+    def mixture(bag, near, prior):
+        at, n = list(bag), np.array(list(bag.values()))
+        now, before = np.ones(5), np.zeros(5)
+        while np.abs(now - before).mean() > 1e-4:
+            share = np.exp(logs(now))
+            now, before = prior + share * (near[at].T @ (n / (near[at] @ share))), now
+        return now, at, n
+
+    prior = np.full(5, 0.2)
+    for number in (1, 2):
+        near, step, found, seen = np.exp(topics._digamma(own) - topics._digamma(own.sum(0))), (1024 + number) ** -0.51, 0 * own, []
+        for bag in filter(None, bags.values()):
+            now, at, n = mixture(bag, near, prior)
+            share = np.exp(logs(now))
+            found[at] += share * near[at] * (n / (near[at] @ share))[:, None]
+            seen.append(logs(now))
+        own = (1 - step) * own + step * (found + 0.2)
+        prior = topics._moved(prior, sum(seen), len(seen), step)
+    assert model.totals == pytest.approx(own.sum(0), rel=0.01) and model.concentration == pytest.approx(prior, rel=0.01)
+    got = {(r.topic, r["rank"]): r.weight for r in topics.topic_terms(model).collect()}
+    share = np.sort(own / own.sum(0), axis=0)[::-1]
+    assert got == {(k, i + 1): pytest.approx(share[i, k], rel=0.02) for k in range(5) for i in range(5)}
+    near = np.exp(topics._digamma(own) - topics._digamma(own.sum(0)))
+    want = {d: int(mixture(bag, near, prior)[0].argmax()) if bag else 0 for d, bag in bags.items()}
+    told = {r.doc_id: r.topic for r in topics.dominant_topics(model).collect()}
+    assert set(told) == set(want) and np.mean([told[d] == want[d] for d in want]) > 0.95
+
+
+def test_few_topics_or_no_word_in_two_texts(spark):
+    alone = spark.createDataFrame([(f"word{i}x",) for i in range(20)], "description string")
+    assert topics.fit_topics(alone) is None
+
+
 def test_features(spark):
     df = spark.createDataFrame([(1.0, 7.0, "b"), (3.0, 7.0, None), (None, 7.0, "b")], "x double, c double, t string")
     filled = features.impute(df, ["x"], ["t"])
