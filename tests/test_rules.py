@@ -1,5 +1,7 @@
 """The rules whose details change answers, on hand-written rows."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -253,6 +255,19 @@ def test_neighbouring_entities(spark):
     assert found == [["copper", "brass", "steel", "nylon", "plastic"], ["Brass", "copper"], [], [], ["5 mm", "6 mm"]]
 
 
+def test_texts_without_entities_are_searched_once(spark, folder):
+    texts = ["", "5", "steely 5 mmx", "x5 mm", "\u0665 kg", "7/8INCHES", "1,5.", "230 V  AC", "glass5 hz", "9 kw-5Hz", "wood", "12 v dcx", "3\u00a0m"]
+    ownwords = [(t, re.sub(r"\W", "", t)) for t in texts]
+    df = spark.createDataFrame([(t,) for pair in ownwords for t in pair] + [(None,)], "t string")
+    some = F.lit(False)
+    for pattern in enrich.entity_patterns().values():
+        some |= F.col("t").rlike(pattern)
+    got = df.select("t", some.alias("some"), F.col("t").rlike(enrich.any_entity()).alias("any"), enrich.extract_entities(F.col("t")).alias("e")).collect()
+    assert all(r.some == r.any and (r.e is None if r.t is None else r.any or r.e == []) for r in got)
+    assert {r.any for r in got} == {True, False, None}
+    assert [[e.text for e in r.e] for r in got if r.t in ("7/8INCHES", "9 kw-5Hz")] == [["7/8INCHES"], ["9 kw", "5Hz"]]
+
+
 def test_lists_that_arrive_as_text(spark):
     rows = [("a", '["x", "y"]'), ("b", "x, y"), ("c", None), ("d", "[broken"), ("e", " [] ")]
     df = spark.createDataFrame(rows, "product_id string, certifications string")
