@@ -255,6 +255,16 @@ def test_neighbouring_entities(spark):
     assert found == [["copper", "brass", "steel", "nylon", "plastic"], ["Brass", "copper"], [], [], ["5 mm", "6 mm"]]
 
 
+def test_partial_city_takes_the_first_hit(spark):
+    texts = ["Navi Mumbai", "old delhi road", "Pun", "Goa and Pune", "", "nowhere at all", "BENGALURU east", None]
+    column = geo.partial_city_state(F.col("t"))
+    got = {r.t: r.s for r in spark.createDataFrame([(t,) for t in texts], "t string").select("t", column.alias("s")).collect()}
+    hits = {t: [s for c, s in CITY_STATE if t is not None and (t.lower() in c.lower() or c.lower() in t.lower())] for t in texts}
+    assert got == {t: (found or [None])[0] for t, found in hits.items()}
+    # Compiled conditions, not a filter over an array of all cities.
+    assert "filter(" not in str(column)
+
+
 def test_texts_without_entities_are_searched_once(spark, folder):
     texts = ["", "5", "steely 5 mmx", "x5 mm", "\u0665 kg", "7/8INCHES", "1,5.", "230 V  AC", "glass5 hz", "9 kw-5Hz", "wood", "12 v dcx", "3\u00a0m"]
     ownwords = [(t, re.sub(r"\W", "", t)) for t in texts]
