@@ -127,6 +127,31 @@ def test_topics_in_blocks_and_shards_follow_the_plain_passes(spark, folder):
     assert set(told) == set(want) and np.mean([told[d] == want[d] for d in want]) > 0.95
 
 
+def test_mixtures_settle_in_few_steps_while_topics_are_alike(monkeypatch):
+    rng, prior, seen, ratio = np.random.default_rng(3), np.full(5, 0.2), [], topics._ratio
+    weights, counts = rng.gamma(100, 0.01, (50, 5, 300)), rng.integers(1, 4, (50, 300)).astype(float)
+    counts[0, 3:] = 0
+    monkeypatch.setattr(topics, "_ratio", lambda w, n, s: seen.append(len(n)) or ratio(w, n, s))
+    found = topics._settle(weights, counts, prior)
+    assert len(seen) < 80 and sum(seen) < 40 * len(counts)
+
+    def step(mixture):
+        share = topics._share(mixture)
+        return prior + share * np.matmul(weights, ratio(weights, counts, share)[:, :, None])[:, :, 0]
+
+    def bound(mixture):
+        logs = np.log(topics._share(mixture))
+        own = [sum(map(math.lgamma, m)) - math.lgamma(m.sum()) for m in mixture]
+        return (counts * np.log(np.matmul(np.exp(logs)[:, None, :], weights)[:, 0])).sum(1) + ((prior - mixture) * logs).sum(1) + own
+
+    plain = np.ones((50, 5))
+    for _ in range(3000):
+        plain = step(plain)
+    # What stands still is as good as where plain steps end.
+    assert (np.abs(step(found) - found).mean(1) < 2 * topics.TOLERANCE).all() and (found > prior).all()
+    assert found.sum(1) == pytest.approx(prior.sum() + counts.sum(1), rel=1e-3) and (bound(found) - bound(plain)).mean() > -0.05
+
+
 def test_few_topics_or_no_word_in_two_texts(spark):
     alone = spark.createDataFrame([(f"word{i}x",) for i in range(20)], "description string")
     assert topics.fit_topics(alone) is None
