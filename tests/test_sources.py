@@ -1,6 +1,7 @@
 import json
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -368,6 +369,33 @@ def test_odd_arrays(spark, tmp_path, ranges):
             ids(cut)
 
 
+class _Handed:
+    """Stands for a table of pieces, and keeps what would run in its tasks."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+
+def test_flat_records_are_not_looked_at_one_by_one(monkeypatch):
+    feed, fed = arrays._Scan.feed, []
+    monkeypatch.setattr(arrays._Scan, "feed", lambda self, piece, base=None: fed.append(piece) or feed(self, piece, base))
+    records = [f'{{"product_id":"p{i}","name":"{name}"' for i, name in enumerate(["a", r'\"{', "\u00fc ]", ""] * 500)]
+    records[700] = '{"product_id":"p700","more":[{"x":1},{"x":2}]'
+    text = '["no", ' + "}, ".join(records[:900]) + "},\n\u00e9 " + "},".join(records[900:]) + "}]"
+    pieces, n = text.split("}"), len(text)
+    places = {"path": ["f"] * len(pieces), "start": [0] * len(pieces), "length": [n] * len(pieces)}
+    summed = arrays._summaries(_Handed()).run([pa.RecordBatch.from_pydict({"value": pieces} | places).slice(a, 1000) for a in (0, 1000, 2000)])
+    row = pa.Table.from_batches(summed).to_pylist()
+    assert [(r["root"], r["quoted0"], r["change0"], r["wrong0"]) for r in row] == [("[", False, -1, False)] and len(fed) < 60
+    state = {"quoted": False, "depth": 0, "key": None, "base": 1, "opened": -1}
+    given = {"value": pieces, "path": places["path"], "start": places["start"]} | {k: pa.array([v] * len(pieces)) for k, v in state.items()}
+    fed.clear()
+    found = [t for b in arrays._cut(_Handed(), "products", True).run([pa.RecordBatch.from_pydict(given)]) for t in b["text"].to_pylist()]
+    assert sorted(found) == sorted(r + "}" for r in records) and len(fed) < 60
+    assert not [t for b in arrays._cut(_Handed(), "products", False).run([pa.RecordBatch.from_pydict(given)]) for t in b["text"].to_pylist()]
+
+
 def test_write_arrays(spark, tmp_path):
     data = frame(spark, product(name='q"}'), product(product_id="TI-2")).coalesce(1)
     arrays.write_arrays(data, str(tmp_path / "out"))
