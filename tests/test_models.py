@@ -288,6 +288,24 @@ def test_forest_takes_all_rows_whatever_the_partitions(spark, monkeypatch):
     assert np.mean([(want[k] - y) ** 2 for k, _, _, y in rows]) < 3
 
 
+def test_trees_draw_from_all_rows_however_few_a_task_takes(spark):
+    rng = np.random.default_rng(4)
+    # More rows than trees times share, some of them equal, and without keys that tell them apart.
+    rows = [(None, float(a), float(b), float(a * 3 + b)) for a, b in zip(rng.integers(0, 20, 600), rng.normal(size=600))]
+    rows += rows[:100]
+    df = spark.createDataFrame(rows, "key string, a double, b double, y double")
+    few, all_ = (trees.grow_forest(df, ["a", "b"], "y", "key", 6, 30, 42, share=s) for s in (90, 10_000))
+    assert few.where("part > 0").count() > 12 and all_.where("part > 0").count() == 0
+    found = [np.array([r.predicted for r in trees.predict(df, f, ["a", "b"]).orderBy("a", "b").collect()]) for f in (few, all_)]
+    assert len(found[0]) == 700 and np.abs(found[0] - found[1]).mean() < 0.05
+    weights = [{r["at"]: r.importance for r in trees.importances(f).collect()} for f in (few, all_)]
+    assert weights[0] == pytest.approx(weights[1], abs=0.01) and sum(weights[0].values()) == pytest.approx(1)
+    hashes = rng.integers(-(2**63), 2**63 - 1, 40_000)
+    for mean in (1, 3, 2000):
+        drawn = trees._draws(hashes, np.full(40_000, mean), 5)
+        assert drawn.mean() == pytest.approx(mean, rel=0.03) and drawn.var() == pytest.approx(mean, rel=0.05)
+
+
 def test_equal_features_are_predicted_once(spark, monkeypatch):
     rows = [(f"r{k}", float(k % 5), None if k % 3 else -0.0, float(k)) for k in range(90)]
     df = spark.createDataFrame(rows, "key string, a double, b double, y double")
