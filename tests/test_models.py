@@ -237,6 +237,26 @@ def test_equal_rows_are_read_once_per_pass(spark, monkeypatch):
         assert found.centres == pytest.approx(centres) and found.cost == pytest.approx(cost)
 
 
+def test_scans_that_carry_several_passes_are_plain_passes(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 2)).round(4)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double").repartition(5).persist()
+    scans, scan, held, first = [], cluster._scan, {}, cluster._first_centres
+    monkeypatch.setattr(cluster, "OPEN", 1200)
+    monkeypatch.setattr(cluster, "_scan", lambda moving, bounds: scans.append(bounds) or scan(moving, bounds))
+    monkeypatch.setattr(cluster, "_first_centres", lambda *given: held.setdefault(given[1:3], first(*given)))
+    asked = [(3, 0), (5, 1)]
+    found = cluster.shared_runs(df, asked)
+    passes = []
+    for run in asked:
+        centres, cost = plain_lloyd(x, held[run], 300)
+        assert found[run].centres == pytest.approx(centres) and found[run].cost == pytest.approx(cost)
+        passes.append(next(n for n in range(300) if plain_lloyd(x, held[run], n)[1] == cost))
+    # Some scans sum up all rows, some leave rows open, and they are fewer than the passes.
+    assert any(0 in b.values() for b in scans) and any(0 < v < np.inf for b in scans for v in b.values())
+    assert 2 * len(scans) < max(passes)
+
+
 def plain_tree(x, y, depth):
     def build(rows, left):
         best = (1e-9, None, None)
