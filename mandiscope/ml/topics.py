@@ -39,6 +39,8 @@ PLAIN = 5
 BLOCK = 4_000_000
 SHARD = 16_384
 PAIRS = 32_768
+#: Words of a shard times blocks, as a shard's task holds what all blocks have counted for its words: at ``TOPICS`` topics some 21 MB.
+SHARD_BLOCKS = 32 * SHARD
 
 _BLOCKS = "block long, docs binary, starts binary, at binary, counts binary"
 #: ``data`` of block -1 is the shard's own weights, elsewhere what a block gets of a shard or found for it; shard -1 sums up documents.
@@ -300,7 +302,7 @@ def fit_topics(
     )
     counts = entries.groupBy("token").agg(F.sum("n").alias("doc_count"))
     words = written(counts.where(F.col("doc_count").between(MIN_DOCS, math.floor(total * MAX_SHARE))))
-    shards = math.ceil(words.count() / shard)
+    shards = math.ceil(words.count() / min(shard, max(1, SHARD_BLOCKS // drafts.count())))
     if not shards:
         return None
     # A hash deals words evenly, so a window holds about ``shard`` of them.

@@ -127,6 +127,17 @@ def test_topics_in_blocks_and_shards_follow_the_plain_passes(spark, folder):
     assert set(told) == set(want) and np.mean([told[d] == want[d] for d in want]) > 0.95
 
 
+def test_words_of_a_shard_are_fewer_the_more_blocks_there_are(spark, folder, monkeypatch):
+    docs = table(spark, folder, "documents").select("doc_id", "text").where("doc_id < 60")
+    monkeypatch.setattr(topics, "SHARD_BLOCKS", 600)
+    model = topics.fit_topics(docs, "text", passes=1, block=2000)
+    blocks = model.blocks.count()
+    words = model.vocabulary.groupBy("shard").count().agg(F.max("count")).first()[0]
+    held = model.weights.where("block >= 0").groupBy("shard").agg(F.sum(F.octet_length("data") / 40).alias("n")).agg(F.max("n")).first()[0]
+    # A hash deals the words, so a shard may have some more than its share.
+    assert blocks > 3 and words <= 2 * 600 / blocks and held <= 2 * 600
+
+
 def test_mixtures_settle_in_few_steps_while_topics_are_alike(monkeypatch):
     rng, prior, seen, ratio = np.random.default_rng(3), np.full(5, 0.2), [], topics._ratio
     weights, counts = rng.gamma(100, 0.01, (50, 5, 300)), rng.integers(1, 4, (50, 300)).astype(float)
